@@ -1,0 +1,137 @@
+"""Generated trades for load tests."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+# Default symbols, sides, venues and the ranges of the numbers.
+DEFAULT_SYMBOLS = ("AAPL", "MSFT", "GOOG")
+SIDES = ("BUY", "SELL")
+VENUES = ("NYSE", "NASDAQ", "IEX")
+MAX_STEP_MS = 1000
+LOWEST_CENTS, HIGHEST_CENTS = 1000, 100000
+MAX_QUANTITY = 5000
+PARTIES = 100000
+
+# Modulus and multipliers of the number streams (Park-Miller family).
+PRIME = 2147483647
+MULTIPLIERS = (48271, 40692, 16807, 69621)
+
+# Trades are numbered in blocks; a block is the unit of work, a span the unit in which
+# block offsets are summed.
+BLOCK = 1 << 16
+BLOCKS_PER_SPAN = 1 << 16
+BLOCKS_PER_TASK = 128
+
+
+def draw(row: Column, stream: int, seed: int) -> Column:
+    """A number in [0, PRIME) fixed by row, stream and seed alone.
+
+    Unlike ``rand`` it survives retries and repartitioning, and it is plain integer
+    arithmetic, so other engines can reproduce it.
+    """
+    first, second, third, fourth = MULTIPLIERS
+    shift = (seed * third + stream * fourth) % PRIME
+    low = row % PRIME
+    high = F.floor((row - low) / PRIME)
+    start = (low * first + high * third + shift) % PRIME
+    squared = (start * start) % PRIME
+    return (squared * second + start) % PRIME
+
+
+def _pick(choices: Sequence[str], number: Column) -> Column:
+    options = F.array(*[F.lit(choice) for choice in choices])
+    return F.get(options, (number % len(choices)).cast("int"))
+
+
+def _uuid(text: Column) -> Column:
+    """Text in the shape of a version 4 UUID, fixed by its argument."""
+    digest = F.md5(text.cast("binary"))
+    return F.concat_ws(
+        "-",
+        F.substring(digest, 1, 8),
+        F.substring(digest, 9, 4),
+        F.concat(F.lit("4"), F.substring(digest, 14, 3)),
+        F.concat(F.lit("8"), F.substring(digest, 18, 3)),
+        F.substring(digest, 21, 12),
+    )
+
+
+def _rows_of(blocks: DataFrame, n: int) -> DataFrame:
+    last = F.least(F.col("block") * BLOCK + (BLOCK - 1), F.lit(n - 1))
+    return blocks.select("*", F.explode(F.sequence(F.col("block") * BLOCK, last)).alias("row"))
+
+
+def _spread(blocks: DataFrame, n: int) -> DataFrame:
+    """Blocks dealt out to tasks.
+
+    The number of partitions is stated, because adaptive execution would judge by the
+    few bytes of the block numbers and put them all into one task.
+    """
+    count = -(-n // BLOCK)
+    parallelism = blocks.sparkSession.sparkContext.defaultParallelism
+    tasks = min(count, max(parallelism, -(-count // BLOCKS_PER_TASK)))
+    return blocks.repartition(max(tasks, 1), "block")
+
+
+def _block_starts(blocks: DataFrame, n: int, step: Column) -> DataFrame:
+    """Milliseconds elapsed before each block.
+
+    Blocks are summed where they lie.  Their running totals are taken within spans,
+    then over spans, of which there is one per 4 billion trades.
+    """
+    totals = _rows_of(_spread(blocks, n), n).groupBy("block").agg(F.sum(step).alias("total"))
+    spans_of = totals.withColumn("span", F.floor(F.col("block") / BLOCKS_PER_SPAN))
+    running = spans_of.select("block", "span", "total", _sum_before("total", "block", "span").alias("elapsed"))
+    if n <= BLOCK * BLOCKS_PER_SPAN:
+        return running.select("block", "elapsed")
+    spans = running.groupBy("span").agg(F.sum("total").alias("total"))
+    starts = spans.select("span", _sum_before("total", "span").alias("span_start"))
+    return running.join(starts, "span").select("block", (F.col("elapsed") + F.col("span_start")).alias("elapsed"))
+
+
+def _sum_before(value: str, order: str, *group: str) -> Column:
+    earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(earlier), F.lit(0))
+
+
+def generate_trades(
+    spark: SparkSession,
+    n: int,
+    symbols: Sequence[str] = DEFAULT_SYMBOLS,
+    start_ts: dt.datetime = dt.datetime(2024, 1, 1),
+    seed: int = 42,
+) -> DataFrame:
+    """``n`` trades whose times rise by 1 to 1000 ms from one to the next.
+
+    The times are a running sum over all rows.  Only block numbers are shuffled: the
+    rows of a block are made after it, in the task which sums them up.
+    """
+    step = 1 + draw(F.col("row"), 1, seed) % MAX_STEP_MS
+    blocks = spark.range(-(-n // BLOCK)).withColumnRenamed("id", "block")
+    placed = _spread(_block_starts(blocks, n, step), n)
+    so_far = Window.partitionBy("block").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    timed = _rows_of(placed, n).select(
+        "row", (F.col("elapsed") + F.sum(step).over(so_far)).alias("ms")
+    )
+    row = F.col("row")
+
+    def number(stream: int) -> Column:
+        return draw(row, stream, seed)
+
+    cents = LOWEST_CENTS + number(3) % (HIGHEST_CENTS - LOWEST_CENTS + 1)
+    return timed.select(
+        _uuid(F.concat_ws("-", F.lit(seed).cast("string"), row.cast("string"))).alias("trade_id"),
+        F.timestamp_add("MILLISECOND", F.col("ms"), F.lit(start_ts).cast("timestamp_ntz")).alias("timestamp"),
+        _pick(symbols, number(2)).alias("symbol"),
+        (cents / 100.0).alias("price"),
+        (1 + number(4) % MAX_QUANTITY).alias("quantity"),
+        _pick(SIDES, number(5)).alias("side"),
+        F.concat(F.lit("B-"), (1 + number(6) % PARTIES).cast("string")).alias("buyer_id"),
+        F.concat(F.lit("S-"), (1 + number(7) % PARTIES).cast("string")).alias("seller_id"),
+        _pick(VENUES, number(8)).alias("venue"),
+    )
