@@ -73,7 +73,7 @@ def fit(
     for epoch in range(1, epochs + 1):
         sums = training_sums(df, features_col, label_col, weights)
         totals = np.array([row.total for row in sums.orderBy("slot").collect()])
-        if not len(totals):
+        if not len(totals) or not totals[-1]:
             raise ValueError("no row has both a label and complete features")
         rows, loss = totals[-1], totals[-2]
         losses.append(float(loss / rows))

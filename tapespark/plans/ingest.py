@@ -6,20 +6,25 @@ import datetime as dt
 import re
 import uuid
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapespark.functions.feed import FEED_DATE_PATTERN
 from tapespark.operators.normalize import parse_payload, split_malformed
 from tapespark.operators.outcomes import SUCCESS, outcomes, pending, present
 from tapespark.schemas import OUTCOME_SCHEMA, TRADE_SCHEMA
-from tapespark.sinks.writers import write_daily, write_parquet, write_summary
+from tapespark.sinks.writers import write_daily, write_summary
 from tapespark.sources.calendar import as_date, calendar_of, feed_calendar
 from tapespark.sources.feed import list_feed_files, read_feed_text, with_file_date
 from tapespark.sources.files import read_daily
 
 
+_LEDGER_SCHEMA = T.StructType([*OUTCOME_SCHEMA.fields, T.StructField("run", T.StringType(), True)])
+
+
 def trades_root(out_root: str) -> str:
     return f"{out_root.rstrip('/')}/trades"
 
@@ -29,13 +34,16 @@ def outcomes_root(out_root: str) -> str:
 
 
 def read_outcomes(spark: SparkSession, out_root: str) -> DataFrame:
-    """Outcomes of all runs so far; none before the first."""
-    try:
-        return spark.read.schema(OUTCOME_SCHEMA).parquet(outcomes_root(out_root))
-    except AnalysisException as failure:
-        if failure.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], OUTCOME_SCHEMA)
+    """Outcomes of all runs so far, with the run each belongs to."""
+    return spark.read.schema(_LEDGER_SCHEMA).parquet(outcomes_root(out_root))
+
+
+def _record(outcomes: DataFrame, out_root: str) -> None:
+    """Add outcomes to those on record.
+
+    Runs add up: a finished date must stay on record when a later run skips it.
+    """
+    outcomes.write.mode("append").partitionBy("run").parquet(outcomes_root(out_root))
 
 
 def completed_dates(spark: SparkSession, out_root: str) -> DataFrame:
@@ -78,7 +86,7 @@ def _load_readable(
     while inputs:
         try:
             return _load(spark, list(inputs.values()), root), errors
-        except PySparkException as failure:
+        except (PySparkException, Py4JJavaError) as failure:
             broken = [day for day, path in inputs.items() if _names(str(failure), path)]
             if not broken:
                 raise
@@ -93,6 +101,7 @@ def _names(message: str, path: str) -> bool:
 
 
 def _ingest(spark: SparkSession, calendar: DataFrame, raw_prefix: str, out_root: str, run: str) -> DataFrame:
+    _record(spark.createDataFrame([], _LEDGER_SCHEMA), out_root)
     done = completed_dates(spark, out_root)
     files = list_feed_files(spark, raw_prefix)
     due = present(pending(calendar, done), files).select("date_str", "input_path")
@@ -112,10 +121,9 @@ def _ingest(spark: SparkSession, calendar: DataFrame, raw_prefix: str, out_root:
     broken = spark.createDataFrame(list(errors.items()), "date_str string, error string")
     result = outcomes(calendar, done, files, counts, broken)
 
-    # A finished date must stay on record when a later run skips it, so runs add up.
-    stored = f"{outcomes_root(out_root)}/run={run}-{uuid.uuid4().hex}"
-    write_parquet(result, stored)
-    ours = spark.read.schema(OUTCOME_SCHEMA).parquet(stored)
+    run_id = f"{run}-{uuid.uuid4().hex}"
+    _record(result.withColumn("run", F.lit(run_id)), out_root)
+    ours = read_outcomes(spark, out_root).where(F.col("run") == run_id).select(*OUTCOME_SCHEMA.names)
     write_summary(ours, f"{out_root.rstrip('/')}/summary_{run}.json")
     return ours
 

@@ -447,7 +447,7 @@ def scored_trades(spark, sf_dir):
     scored = run_daily(
         spark, f"{root}/raw", f"{root}/parquet", f"{root}/curated", f"{root}/scored", _weights()
     )
-    return _rounded(scored)
+    return scored.withColumn("score", F.round("score", 6))
 
 
 def _training_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,8 @@ def build_session(app: str = "tapespark", master: str | None = None, **settings)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # A task which writes a few days keeps a writer per day instead of sorting its rows.
+        "spark.sql.maxConcurrentOutputFileWriters": "16",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)

@@ -6,7 +6,6 @@ import glob
 import os
 
 import duckdb
-import pandas as pd
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -17,19 +16,6 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _kind(values: pd.Series) -> str:
-    present = values.dropna()
-    if not len(present):
-        return "empty"
-    kind = type(present.iloc[0]).__name__
-    return {"int32": "int", "int64": "int", "float64": "float", "Timestamp": "time"}.get(kind, kind)
-
-
-def _canonical(rows: pd.DataFrame) -> list[tuple]:
-    rows = rows[sorted(rows.columns)]
-    return sorted(tuple(None if pd.isna(v) else v for v in row) for row in rows.itertuples(index=False))
-
-
 def _sortable(rows: list[tuple]) -> list[tuple]:
     return sorted(rows, key=lambda row: tuple((v is None, str(v)) for v in row))
 

@@ -1,0 +1,47 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tapespark.schemas import SYNTHETIC_SCHEMA
+from tapespark.sources import generate_trades, synthetic
+
+
+def rows(spark, n, **options):
+    return generate_trades(spark, n, **options).orderBy("timestamp").collect()
+
+
+def test_values_lie_in_their_ranges(spark):
+    n = 5000
+    df = generate_trades(spark, n)
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in SYNTHETIC_SCHEMA]
+    got = df.orderBy("timestamp").collect()
+    times = [dt.datetime(2024, 1, 1)] + [r.timestamp for r in got]
+    steps = [(b - a) / dt.timedelta(milliseconds=1) for a, b in zip(times, times[1:])]
+    assert len({r.trade_id for r in got}) == n
+    assert 1 <= min(steps) < 20 and 980 < max(steps) <= 1000
+    assert 450 < sum(steps) / n < 550
+    assert all(10 <= r.price <= 1000 and round(r.price, 2) == r.price for r in got)
+    assert {r.side for r in got} == {"BUY", "SELL"}
+    assert {r.venue for r in got} == {"NYSE", "NASDAQ", "IEX"}
+    assert {r.symbol for r in got} == {"AAPL", "MSFT", "GOOG"}
+    assert 1 <= min(r.quantity for r in got) < 50 and 4950 < max(r.quantity for r in got) <= 5000
+    assert len({r.buyer_id for r in got}) > 4000
+
+
+def test_blocks_and_spans_do_not_show(spark, monkeypatch):
+    whole = rows(spark, 50)
+    monkeypatch.setattr(synthetic, "BLOCK", 4)
+    monkeypatch.setattr(synthetic, "BLOCKS_PER_SPAN", 3)
+    assert rows(spark, 50) == whole
+
+
+def test_seed_and_symbols(spark):
+    assert rows(spark, 20, seed=1) != rows(spark, 20, seed=2)
+    assert {r.symbol for r in rows(spark, 20, symbols=["Z"])} == {"Z"}
+    assert rows(spark, 0) == []
+
+
+def test_draws_past_the_modulus(spark):
+    far = spark.createDataFrame([(0,), (synthetic.PRIME,), (10**13,)], "row long")
+    got = [r.d for r in far.select(synthetic.draw(F.col("row"), 1, 42).alias("d")).collect()]
+    assert len(set(got)) == 3 and all(0 <= d < synthetic.PRIME for d in got)
