@@ -20,24 +20,19 @@ SYMBOLS = [f"SYM{i}" for i in range(SYMBOL_COUNT)]
 
 def messages_from_events(events: DataFrame) -> DataFrame:
     """Trade, quote and status messages; some symbols, sizes and prices are missing."""
-    number, price = F.col("event_id"), F.col("value") + 10
-    kind = (
-        F.when(F.col("event_type") == "purchase", "trade_report")
-        .when(F.col("event_type").isin("click", "view"), "quote_update")
-        .otherwise("trading_status")
-    )
-    symbol = F.concat(F.lit("SYM"), (F.col("user_id") % SYMBOL_COUNT).cast("string"))
-    return events.select(
-        kind.alias("type"),
-        F.col("ts").alias("timestamp"),
-        F.when(number % 19 != 0, symbol).alias("symbol"),
-        F.when(number % 23 != 0, F.floor(F.col("value") * 100)).cast("bigint").alias("size"),
-        F.when(number % 17 != 0, price).alias("price"),
-        number.cast("string").alias("trade_id"),
-        (number % 500 + 1).alias("bid_size"),
-        price.alias("bid_price"),
-        (number % 300 + 1).alias("ask_size"),
-        (price + (number % 7) * 0.25).alias("ask_price"),
+    return events.selectExpr(
+        """case event_type when 'purchase' then 'trade_report'
+                when 'click' then 'quote_update' when 'view' then 'quote_update'
+                else 'trading_status' end as type""",
+        "ts as timestamp",
+        f"if(event_id % 19 <> 0, 'SYM' || (user_id % {SYMBOL_COUNT}), null) as symbol",
+        "if(event_id % 23 <> 0, cast(floor(value * 100) as bigint), null) as size",
+        "if(event_id % 17 <> 0, value + 10, null) as price",
+        "cast(event_id as string) as trade_id",
+        "event_id % 500 + 1 as bid_size",
+        "value + 10 as bid_price",
+        "event_id % 300 + 1 as ask_size",
+        "value + 10 + event_id % 7 * 0.25d as ask_price",
     )
 
 
@@ -47,13 +42,13 @@ def trades_from_events(events: DataFrame) -> DataFrame:
 
 def trades_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """The largest table as complete trades: one per line, suppliers as symbols."""
-    return lineitem.select(
-        F.lit("trade_report").alias("type"),
-        F.col("l_shipdate").alias("timestamp"),
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
-        F.col("l_quantity").cast("bigint").alias("sale_size"),
-        F.col("l_extendedprice").alias("sale_price"),
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("trade_id"),
+    return lineitem.selectExpr(
+        "'trade_report' as type",
+        "l_shipdate as timestamp",
+        "'S' || l_suppkey as symbol",
+        "cast(l_quantity as bigint) as sale_size",
+        "l_extendedprice as sale_price",
+        "l_orderkey || '-' || l_linenumber as trade_id",
     )
 
 
@@ -63,28 +58,28 @@ def payloads_from_events(events: DataFrame) -> DataFrame:
     Some payloads lack a field, have one too many, hold text for a number, or are
     padded; events other than purchases carry another message type.
     """
-    number = F.col("event_id")
-    kind = F.when(F.col("event_type") == "purchase", "trade_report").otherwise("quote_update")
-    head = F.concat_ws(
-        ",",
-        kind,
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-        F.concat(F.lit("SYM"), (F.col("user_id") % SYMBOL_COUNT).cast("string")),
-    )
-    size = F.when(number % 23 == 0, "").when(number % 37 == 0, "many").otherwise(
-        F.floor(F.col("value") * 100).cast("bigint").cast("string")
+    day = F.date_format("ts", "yyyyMMdd")
+    parts = events.selectExpr(
+        "ts",
+        "event_id",
+        f"""concat_ws(',', if(event_type = 'purchase', 'trade_report', 'quote_update'),
+                      date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+                      'SYM' || (user_id % {SYMBOL_COUNT}),
+                      case when event_id % 23 = 0 then '' when event_id % 37 = 0 then 'many'
+                           else cast(cast(floor(value * 100) as bigint) as string) end,
+                      if(event_id % 17 = 0, '', cast(value as string))) as head""",
     )
-    price = F.when(number % 17 == 0, "").otherwise(F.col("value").cast("string"))
-    body = (
-        F.when(number % 29 == 0, F.concat_ws(",", head, size, price))
-        .when(number % 31 == 0, F.concat_ws(",", head, size, price, number.cast("string"), F.lit("extra")))
-        .otherwise(F.concat_ws(",", head, size, price, number.cast("string")))
+    bodies = parts.selectExpr(
+        "ts",
+        "event_id",
+        """case when event_id % 29 = 0 then head
+                when event_id % 31 = 0 then concat_ws(',', head, event_id, 'extra')
+                else concat_ws(',', head, event_id) end as body""",
     )
-    day = F.date_format("ts", "yyyyMMdd")
-    return events.select(
+    return bodies.select(
         day.alias("date_str"),
         feed_file_name(day).alias("feed"),
-        F.when(number % 43 == 0, F.concat(F.lit(" \t"), body, F.lit(" "))).otherwise(body).alias("value"),
+        F.expr("if(event_id % 43 = 0, ' \t' || body || ' ', body)").alias("value"),
     )
 
 

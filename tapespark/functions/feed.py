@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # last digit of the protocol version.
 VERSION_CUTOVER = "20171101"
 FEED_FILE_PATTERN = r"data_feeds_\d{8}_\d{8}_IEXTP1_TOPS1\.\d\.pcap\.gz"
-FEED_DATE_PATTERN = r".*data_feeds_(\d{8})_"
+FEED_STEM = "data_feeds_"
 
 
 def protocol_version(date_str: Column) -> Column:
@@ -18,7 +18,7 @@ def protocol_version(date_str: Column) -> Column:
 
 def feed_file_name(date_str: Column) -> Column:
     return F.concat(
-        F.lit("data_feeds_"), date_str, F.lit("_"), date_str,
+        F.lit(FEED_STEM), date_str, F.lit("_"), date_str,
         F.lit("_IEXTP1_TOPS"), protocol_version(date_str), F.lit(".pcap.gz"),
     )
 
@@ -26,11 +26,11 @@ def feed_file_name(date_str: Column) -> Column:
 def feed_date(path: Column) -> Column:
     """Trading day named by a feed file's path; NULL when the name does not fit.
 
-    The greedy prefix makes the last match win, so a parent folder which looks like a
-    feed file does not mislead.
+    The last stem counts, so a parent folder which looks like a feed file does not
+    mislead.
     """
-    digits = F.regexp_extract(path, FEED_DATE_PATTERN, 1)
-    return F.try_to_timestamp(F.nullif(digits, F.lit("")), F.lit("yyyyMMdd")).cast("date")
+    digits = F.split_part(F.substring_index(path, FEED_STEM, -1), F.lit("_"), F.lit(1))
+    return F.try_to_date(digits, "yyyyMMdd")
 
 
 def valid_text(value: Column) -> Column:

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def large_trades(trades: DataFrame, factor: float = 5) -> DataFrame:
     """Trades larger than ``factor`` times the mean size over all rows.
 
-    The mean is a scalar subquery: one narrow scan gives one number, and the trades
-    are then filtered without a join or a shuffle.
+    The limit is a scalar subquery: one narrow scan gives one number, and the trades
+    are then filtered without a join or a shuffle.  Whole sizes exceed a limit exactly
+    when they exceed its floor; compared as integers, the filter reaches the Parquet
+    scan, which skips the row groups that hold no large trade.
     """
-    mean_size = trades.select(F.avg("sale_size")).scalar()
-    return trades.where(F.col("sale_size") > mean_size * F.lit(float(factor)))
+    limit = F.avg("sale_size") * F.lit(float(factor))
+    if isinstance(trades.schema["sale_size"].dataType, T.IntegralType):
+        limit = F.floor(limit)
+    return trades.where(F.col("sale_size") > trades.select(limit).scalar())
 
 
 def alert_status(trades: DataFrame, factor: float = 5) -> DataFrame:

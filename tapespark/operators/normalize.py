@@ -63,12 +63,12 @@ def parse_payload(df: DataFrame, col: str = "value") -> DataFrame:
     """
     carried = [F.col(f"`{name}`") for name in df.columns if name != col]
     width = len(TRADE_SCHEMA.fields)
-    payload = F.btrim(F.col(col), F.lit(BLANKS))
+    text, blanks = F.col(f"`{col}`"), F.lit(BLANKS)
     # Exploding a one-element array keeps the optimiser from repeating the split in
     # every expression below, and in filters on them.
     split = (
-        df.select(*carried, payload.alias("payload"))
-        .where(F.col("payload").startswith(TRADE))
+        df.where(F.ltrim(text, blanks).startswith(TRADE))
+        .select(*carried, F.btrim(text, blanks).alias("payload"))
         .select(*carried, "payload", F.explode(F.array(F.split("payload", ","))).alias("parts"))
     )
     texts = {

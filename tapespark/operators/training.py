@@ -16,8 +16,8 @@ from tapespark.schemas import WEIGHTS_SCHEMA
 DECAY_MEAN, DECAY_SQUARE, TINY = 0.9, 0.999, 1e-8
 
 
-def training_sums(df: DataFrame, features_col: str, label_col: str, weights: Weights) -> DataFrame:
-    """(slot, total): gradient sums in flat weight order, then loss, then rows.
+def gradient(df: DataFrame, features_col: str, label_col: str, weights: Weights) -> DataFrame:
+    """(slot, mean): mean gradient per weight in flat order; the last slot is the mean loss.
 
     Each task adds up its own rows and emits one number per slot, so what is shuffled
     depends on the number of tasks, not of rows.  Rows without a label or without a
@@ -28,25 +28,21 @@ def training_sums(df: DataFrame, features_col: str, label_col: str, weights: Wei
         F.col(label_col).cast("double").alias("label"),
     ).where("label is not null")
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0.0
+    def task_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, count = np.zeros(len(weights.flat()) + 1), 0
         for batch in batches:
             x, kept = matrix_of(batch.column("features"), weights.inputs)
-            y = batch.column("label").to_numpy()[kept]
-            total = total + batch_sums(x, y, weights)
-        if np.ndim(total):
-            slots = np.arange(len(total), dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total)], names=["slot", "part"])
-
-    return rows.mapInArrow(sums, "slot int, part double").groupBy("slot").agg(F.sum("part").alias("total"))
+            total += batch_sums(x, batch.column("label").to_numpy()[kept], weights)
+            count += len(x)
+        if count:
+            yield pa.RecordBatch.from_pydict({
+                "slot": np.arange(len(total), dtype=np.int32),
+                "part": total,
+                "rows": np.full(len(total), count),
+            })
 
-
-def gradient(df: DataFrame, features_col: str, label_col: str, weights: Weights) -> DataFrame:
-    """(slot, mean): mean gradient per weight in flat order; the last slot is the mean loss."""
-    size = len(weights.flat())
-    sums = training_sums(df, features_col, label_col, weights)
-    rows = sums.where(F.col("slot") == size + 1).select("total").scalar()
-    return sums.where(F.col("slot") <= size).select("slot", (F.col("total") / rows).alias("mean"))
+    sums = rows.mapInArrow(task_sums, "slot int, part double, rows bigint")
+    return sums.groupBy("slot").agg((F.sum("part") / F.sum("rows")).alias("mean"))
 
 
 def fit(
@@ -62,8 +58,8 @@ def fit(
 ) -> tuple[Weights, list[float]]:
     """Full-batch binary cross-entropy with Adam; the weights and the loss per epoch.
 
-    Every epoch is one Spark job over all rows.  Only the sums reach the driver, which
-    makes the step; their number is that of the weights, whatever the data's size.
+    Every epoch is one Spark job over all rows.  Only the mean gradient reaches the
+    driver, which makes the step; it has one number per weight, whatever the data's size.
     ``df`` is scanned once per epoch: pass a stored table, not a costly plan.
     """
     weights = start or Weights.random(seed, inputs, hidden)
@@ -71,13 +67,12 @@ def fit(
     mean, square = np.zeros_like(values), np.zeros_like(values)
     losses = []
     for epoch in range(1, epochs + 1):
-        sums = training_sums(df, features_col, label_col, weights)
-        totals = np.array([row.total for row in sums.orderBy("slot").collect()])
-        if not len(totals) or not totals[-1]:
+        means = sorted(gradient(df, features_col, label_col, weights).collect())
+        if not means:
             raise ValueError("no row has both a label and complete features")
-        rows, loss = totals[-1], totals[-2]
-        losses.append(float(loss / rows))
-        slope = totals[:-2] / rows
+        *slope, loss = (row.mean for row in means)
+        losses.append(loss)
+        slope = np.array(slope)
         mean = DECAY_MEAN * mean + (1 - DECAY_MEAN) * slope
         square = DECAY_SQUARE * square + (1 - DECAY_SQUARE) * slope**2
         unbiased_mean = mean / (1 - DECAY_MEAN**epoch)

@@ -194,27 +194,74 @@ from (select *, [sale_size / 10000.0::double, sale_price / 1000.0::double,
       from ({CURATED}))"""
 
 
+TRAINING = """
+select row_number() over () as id, embedding[1:10]::double[] as x, toxic::double as y
+from embeddings join labels on vec_id = doc_id"""
+
+
+def _start() -> str:
+    """Slots and values of the starting weights: w1 row by row, b1, w2, b2."""
+    layers = [_layer(unit) for unit in UNITS]
+    rows = [((31 * unit + 17 * j) % 13 - 6) / 10 for unit in UNITS for j in GIVEN]
+    values = [*rows, *(bias for _, bias, _ in layers), *(out for _, _, out in layers), 0.1]
+    return ", ".join(f"({slot}, {value}::double)" for slot, value in enumerate(values))
+
+
+def _means(weights: str, prefix: str) -> str:
+    """Tables ending in ``{prefix}means``: mean gradient per slot under given weights.
+
+    The last slot is the mean loss.
+    """
+    return f"""
+{prefix}units as materialized (
+    select u, list(w order by slot) filter (where slot < 320) as w, any_value(w) filter (where slot >= 320 and slot < 352) as b,
+           any_value(w) filter (where slot >= 352) as v
+    from (select *, case when slot < 320 then slot // 10 else (slot - 320) % 32 end as u from {weights} where slot < 384)
+    group by u),
+{prefix}hidden as materialized (
+    select id, u, x, y, v, greatest(0::double, list_dot_product(w, x) + b) as h from data, {prefix}units),
+{prefix}scores as materialized (
+    select id, any_value(y) as y,
+           1 / (1 + exp(-(sum(v * h) + (select w from {weights} where slot = 384)))) as p
+    from {prefix}hidden group by id),
+{prefix}back as materialized (
+    select u, x, h, p - s.y as s, case when h > 0 then (p - s.y) * v else 0 end as g
+    from {prefix}hidden join {prefix}scores s using (id)),
+{prefix}means as materialized (
+    select cast(slot as integer) as slot, total / (select count(*) from data) as mean from (
+        select u * 10 + j as slot, sum(g * x[j + 1]) as total from {prefix}back, range(10) t(j) group by 1
+        union all select 320 + u, sum(g) from {prefix}back group by 1
+        union all select 352 + u, sum(s * h) from {prefix}back group by 1
+        union all select 384, sum(p - y) from {prefix}scores
+        union all select 385, sum(-(y * ln(p) + (1 - y) * ln(1 - p))) from {prefix}scores))"""
+
+
 def _gradient() -> str:
-    units = ", ".join(
-        f"({unit}, {row}, {bias}::double, {out}::double)"
-        for unit in UNITS
-        for row, bias, out in [_layer(unit)]
-    )
     return f"""
-with data as (select row_number() over () as id, embedding[1:10]::double[] as x, toxic::double as y
-              from embeddings join labels on vec_id = doc_id),
-units(u, w, b, v) as (values {units}),
-hidden as (select id, u, x, y, v, greatest(0::double, list_dot_product(w, x) + b) as h from data, units),
-scores as (select id, any_value(y) as y, 1 / (1 + exp(-(sum(v * h) + 0.1::double))) as p from hidden group by id),
-back as (select u, x, h, p - scores.y as s, case when h > 0 then (p - scores.y) * v else 0 end as g
-         from hidden join scores using (id)),
-sums as (
-    select u * 10 + j as slot, sum(g * x[j + 1]) as total from back, range(10) t(j) group by 1
-    union all select 320 + u, sum(g) from back group by 1
-    union all select 352 + u, sum(s * h) from back group by 1
-    union all select 384, sum(p - y) from scores
-    union all select 385, sum(-(y * ln(p) + (1 - y) * ln(1 - p))) from scores)
-select cast(slot as integer) as slot, round(total / (select count(*) from data), 9) as mean from sums"""
+with data as materialized ({TRAINING}), start(slot, w) as (values {_start()}), {_means("start", "")}
+select slot, round(mean, 9) as mean from means"""
+
+
+def _fit_losses(epochs: int = 10) -> str:
+    """Ten optimiser steps, each a handful of tables over the ones before."""
+    steps = [
+        f"data as materialized ({TRAINING})",
+        f"state0(slot, w, m, s) as (select slot, w, 0::double, 0::double from (values {_start()}) t(slot, w))",
+    ]
+    for epoch in range(1, epochs + 1):
+        steps.append(_means(f"state{epoch - 1}", f"e{epoch}_"))
+        steps.append(f"""
+state{epoch} as materialized (
+    select slot, w - 0.001::double * (m / (1 - pow(0.9::double, {epoch})))
+               / (sqrt(s / (1 - pow(0.999::double, {epoch}))) + 1e-8::double) as w, m, s
+    from (select slot, w, 0.9::double * m + 0.1::double * mean as m,
+                 0.999::double * s + 0.001::double * mean * mean as s
+          from state{epoch - 1} join e{epoch}_means using (slot)))""")
+    losses = " union all ".join(
+        f"select cast({epoch} as integer) as epoch, round(mean, 9) as loss from e{epoch}_means where slot = 385"
+        for epoch in range(1, epochs + 1)
+    )
+    return f"with {', '.join(steps)} {losses}"
 
 
 def _synthetic(seed: int = 42) -> str:
@@ -336,4 +383,5 @@ ORACLES: dict[str, str] = {
     "fraud_score": f"select vec_id, round({network('embedding[1:10]::double[]')}, 6) as score from embeddings",
     "scored_trades": SCORED,
     "fraud_gradient": _gradient(),
+    "fraud_fit_losses": _fit_losses(),
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapespark.functions.feed import FEED_DATE_PATTERN
+from tapespark.functions.feed import FEED_STEM
 from tapespark.operators.normalize import parse_payload, split_malformed
 from tapespark.operators.outcomes import SUCCESS, outcomes, pending, present
 from tapespark.schemas import OUTCOME_SCHEMA, TRADE_SCHEMA
@@ -148,11 +147,10 @@ def ingest_range(
 
 def ingest_day(spark: SparkSession, path: str, out_root: str) -> DataFrame:
     """Ingest one feed file, the day being that in its name; its outcome."""
-    named = re.match(FEED_DATE_PATTERN, path)
-    if not named:
+    raw_prefix, stem, name = path.rpartition(FEED_STEM)
+    if not stem:
         raise ValueError(f"no trading day in the file name: {path}")
-    day = as_date(named[1])
-    raw_prefix = path[: path.rindex("data_feeds_")]
+    day = as_date(name.split("_")[0])
     days = spark.range(1).select(F.lit(day).alias("trade_date"))
     calendar = calendar_of(days, raw_prefix, f"{trades_root(out_root)}/")
     return _ingest(spark, calendar, raw_prefix, out_root, f"{day:%Y%m%d}_{day:%Y%m%d}")

@@ -467,5 +467,5 @@ def fraud_gradient(spark, sf_dir):
 
 @query
 def fraud_fit_losses(spark, sf_dir):
-    _, losses = training.fit(_training_table(spark, sf_dir), "features", "label")
-    return _rounded(spark.createDataFrame(list(enumerate(losses, 1)), "epoch int, loss double"))
+    _, losses = training.fit(_training_table(spark, sf_dir), "features", "label", start=_weights())
+    return _rounded(spark.createDataFrame(list(enumerate(losses, 1)), "epoch int, loss double"), 9)

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapespark.functions.feed import FEED_FILE_PATTERN, feed_date, valid_text
+from tapespark.functions.feed import FEED_FILE_PATTERN, FEED_STEM, feed_date, valid_text
 
 
 def read_feed_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -33,7 +33,7 @@ def with_file_date(df: DataFrame, path_col: str = "file_path") -> DataFrame:
 def list_feed_files(spark: SparkSession, raw_prefix: str) -> DataFrame:
     """Distinct names of the feed files under a path prefix; no content is read."""
     try:
-        found = spark.read.format("binaryFile").load(f"{raw_prefix}data_feeds_*")
+        found = spark.read.format("binaryFile").load(f"{raw_prefix}{FEED_STEM}*")
     except AnalysisException as failure:
         if failure.getCondition() != "PATH_NOT_FOUND":
             raise

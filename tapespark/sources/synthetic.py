@@ -23,9 +23,9 @@ MULTIPLIERS = (48271, 40692, 16807, 69621)
 
 # Trades are numbered in blocks; a block is the unit of work, a span the unit in which
 # block offsets are summed.
-BLOCK = 1 << 16
+BLOCK = 1 << 14
 BLOCKS_PER_SPAN = 1 << 16
-BLOCKS_PER_TASK = 128
+BLOCKS_PER_TASK = 512
 
 
 def draw(row: Column, stream: int, seed: int) -> Column:
@@ -48,9 +48,8 @@ def _pick(choices: Sequence[str], number: Column) -> Column:
     return F.get(options, (number % len(choices)).cast("int"))
 
 
-def _uuid(text: Column) -> Column:
-    """Text in the shape of a version 4 UUID, fixed by its argument."""
-    digest = F.md5(text.cast("binary"))
+def _uuid(digest: Column) -> Column:
+    """32 hexadecimal digits in the shape of a version 4 UUID."""
     return F.concat_ws(
         "-",
         F.substring(digest, 1, 8),
@@ -82,7 +81,7 @@ def _block_starts(blocks: DataFrame, n: int, step: Column) -> DataFrame:
     """Milliseconds elapsed before each block.
 
     Blocks are summed where they lie.  Their running totals are taken within spans,
-    then over spans, of which there is one per 4 billion trades.
+    then over spans, of which there is one per billion trades.
     """
     totals = _rows_of(_spread(blocks, n), n).groupBy("block").agg(F.sum(step).alias("total"))
     spans_of = totals.withColumn("span", F.floor(F.col("block") / BLOCKS_PER_SPAN))
@@ -115,17 +114,19 @@ def generate_trades(
     blocks = spark.range(-(-n // BLOCK)).withColumnRenamed("id", "block")
     placed = _spread(_block_starts(blocks, n, step), n)
     so_far = Window.partitionBy("block").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    row = F.col("row")
     timed = _rows_of(placed, n).select(
-        "row", (F.col("elapsed") + F.sum(step).over(so_far)).alias("ms")
+        "row",
+        (F.col("elapsed") + F.sum(step).over(so_far)).alias("ms"),
+        F.md5(F.concat_ws("-", F.lit(seed).cast("string"), row.cast("string")).cast("binary")).alias("digest"),
     )
-    row = F.col("row")
 
     def number(stream: int) -> Column:
         return draw(row, stream, seed)
 
     cents = LOWEST_CENTS + number(3) % (HIGHEST_CENTS - LOWEST_CENTS + 1)
     return timed.select(
-        _uuid(F.concat_ws("-", F.lit(seed).cast("string"), row.cast("string"))).alias("trade_id"),
+        _uuid(F.col("digest")).alias("trade_id"),
         F.timestamp_add("MILLISECOND", F.col("ms"), F.lit(start_ts).cast("timestamp_ntz")).alias("timestamp"),
         _pick(symbols, number(2)).alias("symbol"),
         (cents / 100.0).alias("price"),
