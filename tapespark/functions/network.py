@@ -5,14 +5,20 @@ The numpy helpers see one Arrow batch at a time, inside Spark tasks.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Tasks carry this module's code with them: executors need numpy and pyarrow, not the
+# package itself.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 INPUTS = 10
 HIDDEN = 32
 
@@ -64,6 +70,14 @@ def forward(x: np.ndarray, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
 
 def batch_sums(x: np.ndarray, y: np.ndarray, weights: Weights) -> np.ndarray:
     """Sums over a batch: the gradient in flat order, then the loss."""
+    total = np.zeros(weights.flat().size + 1)
+    # Pieces of this size stay in the processor's cache.
+    for at in range(0, len(x), 2048):
+        total += _piece_sums(x[at : at + 2048], y[at : at + 2048], weights)
+    return total
+
+
+def _piece_sums(x: np.ndarray, y: np.ndarray, weights: Weights) -> np.ndarray:
     hidden, p = forward(x, weights)
     with np.errstate(divide="ignore"):
         loss = -(
@@ -71,10 +85,10 @@ def batch_sums(x: np.ndarray, y: np.ndarray, weights: Weights) -> np.ndarray:
             + (1.0 - y) * np.maximum(np.log1p(-p), LOG_FLOOR)
         )
     slope = p - y
-    back = np.outer(slope, weights.w2) * (hidden > 0.0)
+    active = (hidden > 0.0) * slope[:, None]
     return np.concatenate([
-        (back.T @ x).ravel(), back.sum(axis=0), hidden.T @ slope,
-        [slope.sum(), loss.sum()],
+        ((active.T @ x) * weights.w2[:, None]).ravel(), active.sum(axis=0) * weights.w2,
+        hidden.T @ slope, [slope.sum(), loss.sum()],
     ])
 
 

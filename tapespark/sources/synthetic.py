@@ -50,12 +50,11 @@ def _pick(choices: Sequence[str], number: Column) -> Column:
 
 def _uuid(digest: Column) -> Column:
     """32 hexadecimal digits in the shape of a version 4 UUID."""
-    return F.concat_ws(
-        "-",
-        F.substring(digest, 1, 8),
-        F.substring(digest, 9, 4),
-        F.concat(F.lit("4"), F.substring(digest, 14, 3)),
-        F.concat(F.lit("8"), F.substring(digest, 18, 3)),
+    return F.concat(
+        F.substring(digest, 1, 8), F.lit("-"),
+        F.substring(digest, 9, 4), F.lit("-4"),
+        F.substring(digest, 14, 3), F.lit("-8"),
+        F.substring(digest, 18, 3), F.lit("-"),
         F.substring(digest, 21, 12),
     )
 
