@@ -18,3 +18,6 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {run.__name__: run for run in (op3_pii,)}
+
+#: SQL counterparts, for the queries that SQL can express.
+ORACLES: dict[str, str] = {}
