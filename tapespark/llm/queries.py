@@ -6,18 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapespark.llm import pii
+from tapespark.llm import fingerprints, pii, urls
 from tapespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+QUERIES: dict[str, Query] = {}
 
+
+def query(run: Query) -> Query:
+    QUERIES[run.__name__] = run
+    return run
+
+
+@query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {run.__name__: run for run in (op3_pii,)}
+@query
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url under the standing rules."""
+    return urls.judge(table(spark, sf_dir, "pages"), urls.standing_rules(spark))
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside its edited text's and its successor's."""
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
 
 #: SQL counterparts, for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_urls": urls.ORACLE}
