@@ -36,9 +36,9 @@ def powers(base: int, n: int) -> np.ndarray:
     if have is None or len(have) < n:
         size = max(n, 1 << 16)
         with np.errstate(over="ignore"):
-            have = np.multiply.accumulate(
-                np.concatenate([[1], np.full(size - 1, base, dtype=np.uint64)]).astype(np.uint64)
-            )
+            have = np.full(size, base, dtype=np.uint64)
+            have[0] = 1
+            have = np.multiply.accumulate(have)
         if size <= 4 * SEGMENT:
             _powers[base] = have
     return have[:n]

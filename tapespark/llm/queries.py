@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapespark.llm import fingerprints, pii, quality, toxicity, urls
+from tapespark.llm import fingerprints, jaccard, pii, quality, toxicity, urls
 from tapespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,5 +49,11 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set size and the component that its links lead to."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 #: SQL counterparts, for the queries that SQL can express.
 ORACLES: dict[str, str] = {"op7_urls": urls.ORACLE}
