@@ -1,9 +1,10 @@
 """Document fingerprints from prefix polynomial hashes.
 
 The prefix array of a text holds, for every length, the value of a polynomial over its code
-points modulo a Mersenne prime, for two bases.  A difference of two entries, shifted to
+points modulo 2**64, the modulus of machine words.  A difference of two entries, shifted to
 position 0, is the hash of the span between them: any two spans are compared in constant
-time, and the longest common extension of two places is found by binary search.
+time, and the longest common extension of two places is found by binary search, whose answer
+is confirmed on the code points themselves.
 
 A fingerprint is a sketch of the hashes of all spans of ``SPAN`` code points: they are dealt
 into ``SLOTS`` slots by value, and each slot keeps 16 bits of its smallest.  The share of
@@ -20,10 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapespark.llm.common import digest, mixed
+from tapespark.llm.common import BASE, INVERSE, digest, powers
 
-PRIME = np.uint64((1 << 31) - 1)
-BASES = (1_103_515_245, 1_664_525_013)
 SPAN = 8
 SLOTS = 64
 EMPTY = "----"
@@ -31,26 +30,6 @@ EMPTY = "----"
 RANGES = 8
 
 
-def _fold(x: np.ndarray) -> np.ndarray:
-    """Values below 2**63 modulo the prime."""
-    x = (x & PRIME) + (x >> np.uint64(31))
-    x = (x & PRIME) + (x >> np.uint64(31))
-    return np.where(x >= PRIME, x - PRIME, x)
-
-
-_tables: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo the prime, grown by doubling."""
-    have = _tables.get(base, np.ones(1, dtype=np.uint64))
-    while len(have) < n:
-        step = np.uint64(pow(base, len(have), int(PRIME)))
-        have = np.concatenate([have, _fold(have * step)])
-    _tables[base] = have
-    return have[:n]
-
-
 def code_points(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
@@ -61,29 +40,37 @@ class Prefix:
     def __init__(self, codes: np.ndarray, base: Prefix | None = None, kept: int = 0):
         """Of ``codes``, whose first ``kept`` code points are those of ``base``."""
         self.codes = codes
-        self.sums = []
-        for at, b in enumerate(BASES):
-            sums = np.zeros(len(codes) + 1, dtype=np.uint64)
-            if base is not None:
-                sums[:kept + 1] = base.sums[at][:kept + 1]
-            tail = codes[kept:].astype(np.uint64) + np.uint64(1)
-            terms = _fold(tail * _powers(b, len(codes))[kept:])
-            sums[kept + 1:] = _fold(np.cumsum(terms) + sums[kept])
-            self.sums.append(sums)
+        self.sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+        if base is not None:
+            self.sums[:kept + 1] = base.sums[:kept + 1]
+        with np.errstate(over="ignore"):
+            terms = codes[kept:].astype(np.uint64)
+            terms += np.uint64(1)
+            terms *= powers(BASE, len(codes))[kept:]
+            np.cumsum(terms, out=terms)
+            np.add(terms, self.sums[kept], out=self.sums[kept + 1:])
 
     def __len__(self) -> int:
         return len(self.codes)
 
-    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of the spans [start, end)."""
-        parts = []
-        for b, sums in zip(BASES, self.sums):
-            shift = _powers(pow(b, -1, int(PRIME)), len(self) + 1)[start]
-            parts.append(_fold(_fold(sums[end] + PRIME - sums[start]) * shift))
-        return (parts[0] << np.uint64(31)) | parts[1]
-
     def span(self, start: int, end: int) -> int:
-        return int(self.spans(np.array([start]), np.array([end]))[0])
+        """The hash of the span [start, end)."""
+        whole = (1 << 64) - 1
+        shift = int(powers(INVERSE, len(self) + 1)[start])
+        return (int(self.sums[end]) - int(self.sums[start])) * shift & whole
+
+    def spans(self, start: int, end: int) -> np.ndarray:
+        """Hashes of the spans of SPAN code points (or what there is) from start to end - 1."""
+        width = min(SPAN, len(self))
+        with np.errstate(over="ignore"):
+            found = self.sums[start + width:end + width] - self.sums[start:end]
+            found *= powers(INVERSE, len(self) + 1)[start:end]
+            # A bijection that carries the low bits up: slots go by the highest.
+            found ^= found >> np.uint64(32)
+            found *= np.uint64(0xD6E8FEB86659FD93)
+            found ^= found >> np.uint64(32)
+            found *= np.uint64(0xD6E8FEB86659FD93)
+        return found
 
 
 def spans_equal(a: Prefix, i: int, b: Prefix, j: int, length: int) -> bool:
@@ -99,29 +86,42 @@ def common_extension(a: Prefix, i: int, b: Prefix, j: int) -> int:
             low = middle
         else:
             high = middle - 1
-    return low
+    differ = np.flatnonzero(a.codes[i:i + low] != b.codes[j:j + low])
+    return int(differ[0]) if len(differ) else low
 
 
-_EDGES = (np.arange(SLOTS + 1, dtype=object) * ((1 << 64) // SLOTS))
-_LOWER = np.array([int(x) for x in _EDGES[:-1]], dtype=np.uint64)
+_LOWER = np.arange(SLOTS, dtype=np.uint64) << np.uint64(58)
 NOTHING = np.uint64((1 << 64) - 1)
+#: Hashes per slot that are expected to pass before the smallest are sought among them.
+PASSING = 32
 
 
-def _minima(prefix: Prefix, start: int, end: int) -> np.ndarray:
-    """The smallest hash per slot of the spans beginning in [start, end)."""
+def _least(hashes: np.ndarray) -> np.ndarray:
     least = np.full(SLOTS, NOTHING)
-    if end <= start:
-        return least
-    at = np.arange(start, end)
-    hashes = np.sort(mixed(prefix.spans(at, np.minimum(at + SPAN, len(prefix)))))
+    hashes = np.sort(hashes)
     first = np.searchsorted(hashes, _LOWER)
     inside = first < len(hashes)
-    value = hashes[np.minimum(first, len(hashes) - 1)]
-    inside &= (value >> np.uint64(58)) == np.arange(SLOTS, dtype=np.uint64)
-    least[inside] = value[inside]
+    if inside.any():
+        value = hashes[np.minimum(first, len(hashes) - 1)]
+        inside &= (value >> np.uint64(58)) == np.arange(SLOTS, dtype=np.uint64)
+        least[inside] = value[inside]
     return least
 
 
+def _minima(prefix: Prefix, start: int, end: int) -> np.ndarray:
+    """The smallest hash per slot of the spans beginning in [start, end)."""
+    if end <= start:
+        return np.full(SLOTS, NOTHING)
+    hashes = prefix.spans(start, end)
+    if len(hashes) > 4 * PASSING * SLOTS:
+        # Among many, the smallest of every slot are nearly always below this bound.
+        bound = np.uint64(((1 << 64) - 1) * PASSING * SLOTS // len(hashes))
+        few = _least(hashes[(hashes << np.uint64(6)) < bound])
+        if (few != NOTHING).all():
+            return few
+    return _least(hashes)
+
+
 def _told(least: np.ndarray) -> str:
     return "".join(
         EMPTY if x == NOTHING else f"{int(x) & 0xFFFF:04x}" for x in least
