@@ -66,16 +66,17 @@ def _segments(data: bytes) -> Iterator[bytes]:
         at = end
 
 
-def word_hashes(text: str | None) -> np.ndarray:
+def word_hashes(text: str | None, any_case: bool = False) -> np.ndarray:
     """A 64-bit hash of each word, in order.
 
     Words are runs of characters other than space and U+0009 to U+000D, with A-Z
-    lower-cased.  A word's hash is a difference of prefix sums of a polynomial over its
+    lower-cased (``any_case``: every letter).  A word's hash is a difference of prefix sums of a polynomial over its
     bytes, shifted to position 0, so all words of a segment are hashed at once.
     """
     if not text:
         return np.zeros(0, dtype=np.uint64)
     found = []
+    text = text.lower() if any_case else text
     for piece in _segments(text.encode("utf-8", "surrogatepass").lower()):
         codes = np.frombuffer(piece, dtype=np.uint8)
         space = np.concatenate([[True], SPACES[codes], [True]])

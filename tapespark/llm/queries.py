@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapespark.llm import fingerprints, jaccard, pii, quality, toxicity, urls
+from tapespark.llm import decontaminate, fingerprints, jaccard, pii, quality, toxicity, urls
 from tapespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,14 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.standing_rules(spark))
 
 
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overlaps of every document with the benchmark's items."""
+    return decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 @query
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint beside its edited text's and its successor's."""
