@@ -9,13 +9,14 @@ class, which is searched once.  The steps:
 2. Divide.  Two linked sets share at least T entries, so of the lists of a class sorted by
    length the T - 1 longest alone cannot hold a partner: the others, the short ones, are
    merged, and classes that meet in one are candidates.
-3. Merge.  Within a short list candidates are first paired with the list's least and greatest
-   class only, whatever its length.  Linked classes are joined to components, and then those
-   pairs are formed whose classes are in different components still.  A group of copies is
-   thus joined by a star, not by all its pairs.
-4. Skip.  A candidate pair's short entries are merged; if the rest can still reach the
-   required overlap, its long entries are probed by binary search, in blocks that stop once
-   the overlap is reached or out of reach.
+3. Merge and skip.  Each short list goes to its least class, so classes that meet in a list
+   meet again in that class's group, into which each brings its set once.  In a group the
+   short lists of a class are merged by counting; candidates that can still reach the
+   required overlap are probed for the long entries by binary search, or the long lists are
+   merged too where that touches fewer entries.  A group that is too large for one task is
+   cut into blocks, of which all pairs are worked through.
+4. Only links that join what a group has not joined yet are kept, so a group of copies yields
+   as many links as it has members, and these are joined to components.
 
 Sets are kept as sorted 64-bit hashes, lists as 48 bits besides their bucket, classes as 64
 bits: among a billion documents any two different sets meet in a class number with a chance
@@ -44,8 +45,10 @@ PER_CENT = 75
 CHUNK = 1 << 21
 #: Buckets of lists per shuffle partition, so that a group in memory stays small.
 BUCKETS = 4
-#: Long entries probed between two checks of whether the overlap can be reached.
-PROBES = 64
+#: Entries of a block of a group.
+BLOCK = 1 << 20
+#: What a probe of a long entry costs beside one step of a merge.
+PROBE = 8
 LOW = np.uint64((1 << 48) - 1)
 
 
@@ -250,62 +253,118 @@ def _searched(key: tuple, table: pa.Table) -> pa.Table:
 def _short_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shorts = batch.column("short").to_pylist()
-        entries = [
-            np.frombuffer(e, dtype=np.int64)[:s]
-            for e, s in zip(batch.column("entries").to_pylist(), shorts)
-        ]
+        whole = batch.column("entries").to_pylist()
+        entries = [np.frombuffer(e, dtype=np.int64)[:s] for e, s in zip(whole, shorts)]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate(entries) if entries else np.zeros(0, np.int64)),
                 pa.array(np.repeat(np.array(batch.column("class").to_pylist(), dtype=np.int64), shorts)),
-                pa.array(np.repeat(np.array(batch.column("n").to_pylist(), dtype=np.int64), shorts)),
+                pa.array(np.repeat(np.array([len(e) // 8 for e in whole], dtype=np.int64), shorts)),
             ],
-            names=["entry", "class", "n"],
+            names=["entry", "class", "held"],
         )
 
 
-def overlap_reached(a: np.ndarray, b: np.ndarray, short: int, need: int) -> bool:
-    """Whether sets share ``need`` entries: short ones merged, long ones probed in blocks.
+class _Joined:
+    """Union-find over the members of a group."""
 
-    ``a`` is in order of its lists' lengths, its first ``short`` entries are the short ones.
-    """
-    b = np.sort(b)
-    got = len(np.intersect1d(a[:short], b, assume_unique=True))
-    for start in range(short, len(a), PROBES):
-        if got >= need or got + len(a) - start < need:
-            break
-        block = a[start:start + PROBES]
-        at = np.minimum(np.searchsorted(b, block), len(b) - 1)
-        got += int((b[at] == block).sum())
-    return got >= need
-
-
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = batch.select(["a", "b", "n_a", "n_b", "short_a", "entries_a", "entries_b"]).to_pydict()
-        kept = [
-            overlap_reached(
-                np.frombuffer(ea, dtype=np.uint64), np.frombuffer(eb, dtype=np.uint64), s, required(n, m)
-            )
-            for n, m, s, ea, eb in zip(
-                rows["n_a"], rows["n_b"], rows["short_a"], rows["entries_a"], rows["entries_b"]
-            )
-        ]
-        yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+    def __init__(self, n: int):
+        self.up = np.arange(n)
 
+    def root(self, k: int) -> int:
+        while self.up[k] != k:
+            self.up[k] = self.up[self.up[k]]
+            k = self.up[k]
+        return int(k)
 
-def _links(pairs: DataFrame, searched: DataFrame) -> DataFrame:
-    """Those of the candidate pairs (a, b) whose sets share enough."""
-    ours = {c: searched.withColumnsRenamed({"class": c, "n": f"n_{c}", "short": f"short_{c}",
-                                            "entries": f"entries_{c}"}) for c in "ab"}
-    joined = pairs.join(ours["a"], "a").join(ours["b"], "b")
-    return joined.select(
-        "a", "b", "n_a", "n_b", "short_a", "entries_a", "entries_b"
-    ).mapInArrow(_confirmed, "a long, b long")
+    def roots(self) -> np.ndarray:
+        while True:
+            above = self.up[self.up]
+            if (above == self.up).all():
+                return above
+            self.up = above
 
 
-def _of_like_size(n: str, m: str):
-    return (F.col(n) * 100 >= F.col(m) * PER_CENT) & (F.col(m) * 100 >= F.col(n) * PER_CENT)
+def links_among(sizes: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between sets of a group, as many as join what can be joined.
+
+    ``sizes``: of the whole sets; ``sets``: their entries that others share.
+    """
+    lengths = np.array([len(s) for s in sets])
+    _, number, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), lengths)
+    order = np.argsort(number, kind="stable")
+    members = owner[order]
+    begins = np.concatenate([[0], np.cumsum(held)])
+    cuts = np.concatenate([[0], np.cumsum(lengths)])
+    own = [np.sort(number[cuts[k]:cuts[k + 1]]) for k in range(len(sets))]
+    joined, links = _Joined(len(sets)), []
+
+    def merge(lists: np.ndarray) -> np.ndarray:
+        met = [members[begins[x]:begins[x + 1]] for x in lists]
+        return np.bincount(np.concatenate(met), minlength=len(sets)) if met else np.zeros(len(sets), int)
+
+    for k in range(len(sets)):
+        n = int(sizes[k])
+        lists = own[k][held[own[k]] > 1]
+        skipped = int(least_shared(n)) - 1
+        if len(lists) <= skipped:
+            continue
+        lists = lists[np.argsort(held[lists], kind="stable")]
+        short, long = lists[:len(lists) - skipped], lists[len(lists) - skipped:]
+        counts = merge(short)
+        need = required(n, sizes)
+        roots = joined.roots()
+        asked = np.flatnonzero(
+            (counts > 0) & (counts + len(long) >= need) & (roots != roots[k])
+        )
+        if not len(asked):
+            continue
+        if PROBE * len(asked) * len(long) > held[long].sum():
+            counts = counts + merge(long)
+        else:
+            for other in asked:
+                at = np.minimum(np.searchsorted(own[other], long), len(own[other]) - 1)
+                counts[other] += int((own[other][at] == long).sum())
+        for other in asked[counts[asked] >= need[asked]]:
+            ours, theirs = joined.root(k), joined.root(int(other))
+            if ours != theirs:
+                joined.up[max(ours, theirs)] = min(ours, theirs)
+                links.append((k, int(other)))
+    return links
+
+
+def _linked(table: pa.Table) -> pa.Table:
+    classes = np.array(table.column("class").to_pylist(), dtype=np.int64)
+    sizes = np.array(table.column("n").to_pylist(), dtype=np.int64)
+    sets = [np.frombuffer(e, dtype=np.uint64) for e in table.column("entries").to_pylist()]
+    # The same links come out of every attempt, whatever order rows arrive in.
+    order = np.lexsort((classes, sizes))
+    links = links_among(sizes[order], [sets[k] for k in order])
+    pairs = np.array([(classes[order[a]], classes[order[b]]) for a, b in links], dtype=np.int64)
+    pairs = pairs.reshape(len(links), 2)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def _links(searched: DataFrame) -> DataFrame:
+    """(a, b): links that join all classes which links join."""
+    lists = searched.mapInArrow(_short_entries, "entry long, class long, held long")
+    ends = lists.groupBy("entry").agg(F.min("class").alias("head"), F.max("class").alias("last"))
+    heads = ends.where("head < last").select("entry", "head")
+    grouped = lists.join(heads, "entry").select("head", "class", "held").distinct()
+    weights = grouped.groupBy("head").agg(
+        F.ceil(F.sum("held") / BLOCK).cast("int").alias("blocks")
+    )
+    place = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    dealt = (
+        grouped.join(weights, "head")
+        .select("head", "class", place.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("head", "class", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    )
+    return (
+        dealt.join(searched.select("class", "n", "entries"), "class")
+        .groupBy("head", "i", "j").applyInArrow(_linked, "a long, b long")
+    )
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -331,40 +390,8 @@ def join(docs: DataFrame) -> DataFrame:
     )
     searched = spark.read.schema(SEARCHED).parquet(f"{root}/searched")
 
-    lists = searched.mapInArrow(_short_entries, "entry long, class long, n long")
-    ends = lists.groupBy("entry").agg(F.min("class").alias("first"), F.max("class").alias("last"))
-    ends = ends.where("first < last")
-    star = (
-        lists.join(ends, "entry")
-        .select("class", F.explode(F.array_distinct(F.array("first", "last"))).alias("end"))
-        .where("class <> end")
-        .select(F.least("class", "end").alias("a"), F.greatest("class", "end").alias("b"))
-        .distinct()
-    )
-    _links(star, searched).write.parquet(f"{root}/links-star")
-    starred = spark.read.schema("a long, b long").parquet(f"{root}/links-star")
-    joined = components(starred)
-
-    placed = lists.join(joined.withColumnRenamed("node", "class"), "class", "left").select(
-        "entry", "class", "n", F.coalesce("label", "class").alias("part")
-    )
-    # Lists whose classes are in one component have nothing left to ask.
-    open_lists = placed.groupBy("entry").agg(
-        F.min("part").alias("low"), F.max("part").alias("high")
-    ).where("low < high").select("entry")
-    placed = placed.join(open_lists, "entry")
-    left, right = (
-        placed.select("entry", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "n", "part")))
-        for side in "ab"
-    )
-    rest = (
-        left.join(right, "entry")
-        .where("class_a < class_b and part_a <> part_b").where(_of_like_size("n_a", "n_b"))
-        .select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    _links(rest, searched).write.parquet(f"{root}/links-rest")
-    links = starred.union(spark.read.schema("a long, b long").parquet(f"{root}/links-rest"))
+    _links(searched).write.parquet(f"{root}/links")
+    links = spark.read.schema("a long, b long").parquet(f"{root}/links")
 
     parts = components(links)
     named = sized.join(parts.withColumnRenamed("node", "class"), "class", "left").select(
