@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapespark.llm import decontaminate, fingerprints, jaccard, pieces, pii, quality, toxicity, urls
+from tapespark.llm import decontaminate, fingerprints, jaccard, licences, pieces, pii, quality, toxicity, urls
 from tapespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence notices of every document."""
+    return licences.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces, and whether they decode to its text."""
