@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapespark.llm.common import window_hashes, word_hashes
+from tapespark.session import scratch_path
 
 #: Fixed masks: offsets of the words that count, of windows of 8.
 MASKS = ((0, 1, 2, 4, 5, 7), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 7))
@@ -206,5 +207,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the documents that overlap with an item; rows without doc_id stay."""
-    leaking = find_leaks(docs, items).select("doc_id").distinct()
+    spark = docs.sparkSession
+    kept = scratch_path(spark, "leaks")
+    find_leaks(docs, items).select("doc_id").distinct().write.parquet(kept)
+    leaking = spark.read.schema("doc_id long").parquet(kept)
     return docs.join(leaking, "doc_id", "left_anti")

@@ -410,8 +410,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     The row with the component's smallest doc_id stays (of repeated rows one); rows without
     words or doc_id stay.  All columns are kept.
     """
-    placed = join(docs).where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
-    single = docs.join(placed, "doc_id", "left_anti")
-    return single.where("doc_id is null").union(
-        single.where("doc_id is not null").dropDuplicates(["doc_id"])
+    spark = docs.sparkSession
+    placed = scratch_path(spark, "jaccard-placed")
+    join(docs).where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct().write.parquet(placed)
+    # Read back, so Spark knows the size and sends few ids to the texts, not texts to the ids.
+    gone = spark.read.schema("doc_id long").parquet(placed)
+    single = docs.join(gone, "doc_id", "left_anti").withColumn(
+        "__nameless", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     )
+    return single.dropDuplicates(["doc_id", "__nameless"]).select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapespark.llm import decontaminate, fingerprints, jaccard, licences, pieces, pii, quality, toxicity, urls
+from tapespark.llm import decontaminate, fingerprints, html, jaccard, licences, pieces, pii, quality, toxicity, urls
 from tapespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,12 @@ def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces, and whether they decode to its text."""
