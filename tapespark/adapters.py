@@ -37,7 +37,25 @@ def messages_from_events(events: DataFrame) -> DataFrame:
 
 
 def trades_from_events(events: DataFrame) -> DataFrame:
-    return to_trades(messages_from_events(events))
+    """The purchases as trades; the filter on the stored column reaches the scan."""
+    return to_trades(messages_from_events(events.where("event_type = 'purchase'")))
+
+
+def encoded_messages_from_events(events: DataFrame) -> DataFrame:
+    """Messages as another feed sends them: symbols as bytes, some of them damaged, decimal
+    prices, and times as text, some with an offset from UTC."""
+    stamp = """date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss")"""
+    number = "cast(trade_id as bigint)"
+    return messages_from_events(events).selectExpr(
+        "type",
+        f"""case {number} % 3 when 0 then {stamp} when 1 then {stamp} || '-05:00'
+                else {stamp} || 'Z' end as timestamp""",
+        f"if({number} % 13 = 0, unhex('41FF42'), encode(symbol, 'UTF-8')) as symbol",
+        "size",
+        "cast(round(price, 4) as decimal(18, 4)) as price",
+        "trade_id",
+        "bid_size", "bid_price", "ask_size", "ask_price",
+    )
 
 
 def trades_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -63,11 +81,12 @@ def payloads_from_events(events: DataFrame) -> DataFrame:
         "ts",
         "event_id",
         f"""concat_ws(',', if(event_type = 'purchase', 'trade_report', 'quote_update'),
-                      date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+                      if(event_id % 41 = 0, 'noon', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
                       'SYM' || (user_id % {SYMBOL_COUNT}),
                       case when event_id % 23 = 0 then '' when event_id % 37 = 0 then 'many'
                            else cast(cast(floor(value * 100) as bigint) as string) end,
-                      if(event_id % 17 = 0, '', cast(value as string))) as head""",
+                      case when event_id % 17 = 0 then '' when event_id % 47 = 0 then 'n/a'
+                           else cast(value as string) end) as head""",
     )
     bodies = parts.selectExpr(
         "ts",
@@ -98,9 +117,9 @@ def write_feeds(payloads: DataFrame, root: str) -> str:
     return f"{root}/feed="
 
 
-def training_rows(embeddings: DataFrame, labels: DataFrame, inputs: int = 10) -> DataFrame:
-    """Leading vector elements as features and the toxicity flag as label."""
-    features = F.slice("embedding", 1, inputs).cast("array<double>")
+def training_rows(embeddings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Vectors as features and the toxicity flag as label."""
+    features = F.col("embedding").cast("array<double>")
     return embeddings.join(labels, F.col("vec_id") == F.col("doc_id")).select(
         "vec_id", features.alias("features"), F.col("toxic").alias("label")
     )

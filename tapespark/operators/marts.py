@@ -12,13 +12,17 @@ def fct_tops(stg: DataFrame, by_type: bool = False) -> DataFrame:
     """Average price, average spread and volume per trade date and symbol.
 
     The plain form averages every row, the zeros of rows of another type included.
-    ``by_type=True`` takes prices from trades and spreads from quotes only.
+    ``by_type=True`` takes prices from trades whose price is known and spreads from quotes
+    whose both sides are; the zeros that stand for what is missing do not count.
     """
     price = F.col("last_sale_price")
     spread = F.col("ask_price") - F.col("bid_price")
     if by_type:
-        traded = F.col("is_trade") == 1
-        quoted = ~traded & ((F.col("bid_size") > 0) | (F.col("ask_size") > 0))
+        traded = price > 0
+        sides = ("bid_size", "bid_price", "ask_size", "ask_price")
+        quoted = F.lit(True)
+        for side in sides:
+            quoted = quoted & (F.col(side) > 0)
         price, spread = F.when(traded, price), F.when(quoted, spread)
     return stg.groupBy("trade_date", "symbol").agg(
         F.avg(price).alias("avg_price"),

@@ -72,17 +72,11 @@ def trades_per_day(trades: DataFrame) -> DataFrame:
 
 
 def date_range(trades: DataFrame) -> DataFrame:
-    """First and last trade date, and the sentence which announces them."""
-    ends = trades.agg(
+    """First and last trade date."""
+    return trades.agg(
         F.to_date(F.min("timestamp")).alias("min_date"),
         F.to_date(F.max("timestamp")).alias("max_date"),
     )
-    single = F.concat(F.lit("Data for "), F.col("min_date").cast("string"))
-    several = F.concat(
-        F.lit("Data covers from "), F.col("min_date").cast("string"),
-        F.lit(" to "), F.col("max_date").cast("string"),
-    )
-    return ends.withColumn("label", F.when(F.col("min_date") == F.col("max_date"), single).otherwise(several))
 
 
 def symbols(trades: DataFrame) -> DataFrame:
@@ -105,6 +99,12 @@ def preview(df: DataFrame, n: int = 10, order_cols: Sequence[str] = ("timestamp"
     return df.orderBy(*order_cols).limit(n)
 
 
+def ordered(df: DataFrame, *keys: str) -> DataFrame:
+    """The table for presentation, sorted by ``keys``: date and symbol if it has them."""
+    known = keys or [c for c in ("date", "trade_date", "symbol") if c in df.columns]
+    return df.orderBy(*known) if known else df
+
+
 def pivot_daily(metrics: DataFrame, value: str, symbols: Sequence[str]) -> DataFrame:
     """One row per date, one column per symbol; a day without the symbol is NULL.
 

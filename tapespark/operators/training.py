@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tapespark.functions.network import HIDDEN, INPUTS, Weights, batch_sums, matrix_of
 from tapespark.schemas import WEIGHTS_SCHEMA
 
+# Groups of tasks whose sums are added up together.
+GROUPS = 8
 # The optimiser's decay rates and the guard against division by zero.
 DECAY_MEAN, DECAY_SQUARE, TINY = 0.9, 0.999, 1e-8
 
@@ -35,14 +37,23 @@ def gradient(df: DataFrame, features_col: str, label_col: str, weights: Weights)
             total += batch_sums(x, batch.column("label").to_numpy()[kept], weights)
             count += len(x)
         if count:
-            yield pa.RecordBatch.from_pydict({
-                "slot": np.arange(len(total), dtype=np.int32),
-                "part": total,
-                "rows": np.full(len(total), count),
-            })
-
-    sums = rows.mapInArrow(task_sums, "slot int, part double, rows bigint")
-    return sums.groupBy("slot").agg((F.sum("part") / F.sum("rows")).alias("mean"))
+            yield pa.RecordBatch.from_pydict({"parts": [total.tolist()], "rows": [count]})
+
+    def group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, count = None, 0
+        for batch in batches:
+            for parts, rows_of_task in zip(batch.column("parts"), batch.column("rows").to_pylist()):
+                values = parts.values.to_numpy()
+                total = values.copy() if total is None else total + values
+                count += rows_of_task
+        if count:
+            yield pa.RecordBatch.from_pydict({"parts": [total.tolist()], "rows": [count]})
+
+    # Every task sends one array; groups of tasks add theirs up before the slots are told apart.
+    sums = rows.mapInArrow(task_sums, "parts array<double>, rows bigint")
+    groups = sums.repartition(GROUPS).mapInArrow(group_sums, "parts array<double>, rows bigint")
+    slots = groups.select("rows", F.posexplode("parts").alias("slot", "part"))
+    return slots.groupBy("slot").agg((F.sum("part") / F.sum("rows")).alias("mean"))
 
 
 def fit(

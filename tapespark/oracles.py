@@ -80,11 +80,12 @@ from (select *, case when event_id % 29 = 0 then concat_ws(',', head, size, pric
             else concat_ws(',', head, size, price, cast(event_id as varchar)) end as body
       from (select event_id, ts,
                    concat_ws(',', case when event_type = 'purchase' then 'trade_report' else 'quote_update' end,
-                       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'),
+                       case when event_id % 41 = 0 then 'noon' else strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') end,
                        'SYM' || cast(user_id % 20 as varchar)) as head,
                    case when event_id % 23 = 0 then '' when event_id % 37 = 0 then 'many'
                         else cast(cast(floor(value * 100) as bigint) as varchar) end as size,
-                   case when event_id % 17 = 0 then '' else cast(value as varchar) end as price
+                   case when event_id % 17 = 0 then '' when event_id % 47 = 0 then 'n/a'
+                        else cast(value as varchar) end as price
             from events))"""
 
 PARSED = f"""
@@ -107,7 +108,7 @@ FEED_DAY = "cast(strptime(date_str, '%Y%m%d') as date)"
 
 PRESENT_TRADES = f"""
 select {TRADE_COLUMNS}, {FEED_DAY} as "date" from ({PARSED})
-where reason is null and day({FEED_DAY}) % 7 <> 0"""
+where reason is null and day({FEED_DAY}) % 7 <> 2"""
 
 
 def weekdays(first: str, last: str, source: str) -> str:
@@ -132,7 +133,7 @@ EVENT_CALENDAR = calendar("min(ts)::date", "max(ts)::date", "events")
 
 COMPLETED = "select distinct strftime(ts, '%Y%m%d') as date_str from events where day(ts) % 5 = 0"
 
-FILES = "select distinct strftime(ts, '%Y%m%d') as date_str from events where day(ts) % 7 <> 0"
+FILES = "select distinct strftime(ts, '%Y%m%d') as date_str from events where day(ts) % 7 <> 2"
 
 OUTCOMES = f"""
 select date_str,
@@ -150,7 +151,7 @@ from ({EVENT_CALENDAR}) left join (
 TWO_RUNS = f"""
 with bounds as (select min(ts)::date as lo, max(ts)::date as hi from events where event_type = 'purchase'),
 days as ({weekdays("lo", "hi", "bounds")}),
-found as (select distinct {FEED_DAY} as d from ({PAYLOADS}) where day({FEED_DAY}) % 7 <> 0),
+found as (select distinct {FEED_DAY} as d from ({PAYLOADS}) where day({FEED_DAY}) % 7 <> 2),
 counted as (select "date" as d, count(*) as n from ({PRESENT_TRADES}) group by 1),
 fresh as (
     select trade_date, date_str, case when n is null then 'FAILED' else 'SUCCESS' end as status, n as rows,
@@ -164,18 +165,20 @@ select date_str, case when done then 'SKIPPED' else status end, case when not do
        case when done then 'already exists' else reason end
 from (select *, date_str in (select date_str from first_run where status = 'SUCCESS') as done from fresh)"""
 
-UNITS, GIVEN = range(32), range(10)
+UNITS, GIVEN = range(32), range(64)
+#: First slots of b1, w2, b2 and the loss.
+B1, W2, B2, LOSS = 2048, 2080, 2112, 2113
 
 
-def _layer(unit: int) -> tuple[str, float, float]:
-    row = [((31 * unit + 17 * j) % 13 - 6) / 10 for j in GIVEN]
+def _layer(unit: int, inputs: int) -> tuple[str, float, float]:
+    row = [((31 * unit + 17 * j) % 13 - 6) / 10 for j in range(inputs)]
     return f"{row}::double[]", (unit % 5 - 2) / 10, (7 * unit % 11 - 5) / 10
 
 
-def network(x: str) -> str:
+def network(x: str, inputs: int = 10) -> str:
     terms = []
     for unit in UNITS:
-        row, bias, out = _layer(unit)
+        row, bias, out = _layer(unit, inputs)
         terms.append(f"({out}::double) * greatest(0::double, list_dot_product({row}, {x}) + ({bias}::double))")
     return f"1 / (1 + exp(-({' + '.join(terms)} + 0.1::double)))"
 
@@ -195,13 +198,13 @@ from (select *, [sale_size / 10000.0::double, sale_price / 1000.0::double,
 
 
 TRAINING = """
-select row_number() over () as id, embedding[1:10]::double[] as x, toxic::double as y
+select row_number() over () as id, embedding::double[] as x, toxic::double as y
 from embeddings join labels on vec_id = doc_id"""
 
 
 def _start() -> str:
     """Slots and values of the starting weights: w1 row by row, b1, w2, b2."""
-    layers = [_layer(unit) for unit in UNITS]
+    layers = [_layer(unit, len(GIVEN)) for unit in UNITS]
     rows = [((31 * unit + 17 * j) % 13 - 6) / 10 for unit in UNITS for j in GIVEN]
     values = [*rows, *(bias for _, bias, _ in layers), *(out for _, _, out in layers), 0.1]
     return ", ".join(f"({slot}, {value}::double)" for slot, value in enumerate(values))
@@ -214,26 +217,27 @@ def _means(weights: str, prefix: str) -> str:
     """
     return f"""
 {prefix}units as materialized (
-    select u, list(w order by slot) filter (where slot < 320) as w, any_value(w) filter (where slot >= 320 and slot < 352) as b,
-           any_value(w) filter (where slot >= 352) as v
-    from (select *, case when slot < 320 then slot // 10 else (slot - 320) % 32 end as u from {weights} where slot < 384)
+    select u, list(w order by slot) filter (where slot < {B1}) as w,
+           any_value(w) filter (where slot >= {B1} and slot < {W2}) as b,
+           any_value(w) filter (where slot >= {W2}) as v
+    from (select *, case when slot < {B1} then slot // 64 else (slot - {B1}) % 32 end as u from {weights} where slot < {B2})
     group by u),
 {prefix}hidden as materialized (
     select id, u, x, y, v, greatest(0::double, list_dot_product(w, x) + b) as h from data, {prefix}units),
 {prefix}scores as materialized (
     select id, any_value(y) as y,
-           1 / (1 + exp(-(sum(v * h) + (select w from {weights} where slot = 384)))) as p
+           1 / (1 + exp(-(sum(v * h) + (select w from {weights} where slot = {B2})))) as p
     from {prefix}hidden group by id),
 {prefix}back as materialized (
     select u, x, h, p - s.y as s, case when h > 0 then (p - s.y) * v else 0 end as g
     from {prefix}hidden join {prefix}scores s using (id)),
 {prefix}means as materialized (
     select cast(slot as integer) as slot, total / (select count(*) from data) as mean from (
-        select u * 10 + j as slot, sum(g * x[j + 1]) as total from {prefix}back, range(10) t(j) group by 1
-        union all select 320 + u, sum(g) from {prefix}back group by 1
-        union all select 352 + u, sum(s * h) from {prefix}back group by 1
-        union all select 384, sum(p - y) from {prefix}scores
-        union all select 385, sum(-(y * ln(p) + (1 - y) * ln(1 - p))) from {prefix}scores))"""
+        select u * 64 + j as slot, sum(g * x[j + 1]) as total from {prefix}back, range(64) t(j) group by 1
+        union all select {B1} + u, sum(g) from {prefix}back group by 1
+        union all select {W2} + u, sum(s * h) from {prefix}back group by 1
+        union all select {B2}, sum(p - y) from {prefix}scores
+        union all select {LOSS}, sum(-(y * ln(p) + (1 - y) * ln(1 - p))) from {prefix}scores))"""
 
 
 def _gradient() -> str:
@@ -242,8 +246,8 @@ with data as materialized ({TRAINING}), start(slot, w) as (values {_start()}), {
 select slot, round(mean, 9) as mean from means"""
 
 
-def _fit_losses(epochs: int = 10) -> str:
-    """Ten optimiser steps, each a handful of tables over the ones before."""
+def _fitted(epochs: int) -> list[str]:
+    """Optimiser steps, each a handful of tables over the ones before."""
     steps = [
         f"data as materialized ({TRAINING})",
         f"state0(slot, w, m, s) as (select slot, w, 0::double, 0::double from (values {_start()}) t(slot, w))",
@@ -257,32 +261,31 @@ state{epoch} as materialized (
     from (select slot, w, 0.9::double * m + 0.1::double * mean as m,
                  0.999::double * s + 0.001::double * mean * mean as s
           from state{epoch - 1} join e{epoch}_means using (slot)))""")
+    return steps
+
+
+def _fit_losses(epochs: int = 10) -> str:
+    steps = _fitted(epochs)
     losses = " union all ".join(
-        f"select cast({epoch} as integer) as epoch, round(mean, 9) as loss from e{epoch}_means where slot = 385"
+        f"select cast({epoch} as integer) as epoch, round(mean, 9) as loss from e{epoch}_means where slot = {LOSS}"
         for epoch in range(1, epochs + 1)
     )
     return f"with {', '.join(steps)} {losses}"
 
 
-def _synthetic(seed: int = 42) -> str:
-    prime, streams = 2147483647, range(1, 9)
-    starts = ", ".join(
-        f"((i % {prime}) * 48271 + (i // {prime}) * 16807 + {(seed * 16807 + k * 69621) % prime}) % {prime} as s{k}"
-        for k in streams
-    )
-    draws = ", ".join(f"((s{k} * s{k}) % {prime} * 40692 + s{k}) % {prime} as d{k}" for k in streams)
+def _stored_weights() -> str:
+    """Scores under the weights after one step."""
     return f"""
-select substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-4' || substr(m, 14, 3) || '-8' || substr(m, 18, 3)
-       || '-' || substr(m, 21, 12) as trade_id,
-       timestamp '2024-01-01' + to_milliseconds(cast(sum(1 + d1 % 1000) over (order by i) as bigint)) as "timestamp",
-       ['AAPL', 'MSFT', 'GOOG'][d2 % 3 + 1] as symbol,
-       (1000 + d3 % 99001) / 100.0::double as price, 1 + d4 % 5000 as quantity,
-       ['BUY', 'SELL'][d5 % 2 + 1] as side,
-       'B-' || cast(1 + d6 % 100000 as varchar) as buyer_id,
-       'S-' || cast(1 + d7 % 100000 as varchar) as seller_id,
-       ['NYSE', 'NASDAQ', 'IEX'][d8 % 3 + 1] as venue
-from (select i, md5('{seed}-' || cast(i as varchar)) as m, {draws}
-      from (select i, {starts} from (select unnest(range(count(*))) as i from orders)))"""
+with {', '.join(_fitted(1))},
+units as materialized (
+    select u, list(w order by slot) filter (where slot < {B1}) as w,
+           any_value(w) filter (where slot >= {B1} and slot < {W2}) as b,
+           any_value(w) filter (where slot >= {W2}) as v
+    from (select *, case when slot < {B1} then slot // 64 else (slot - {B1}) % 32 end as u
+          from state1 where slot < {B2}) group by u)
+select vec_id, round(1 / (1 + exp(-(sum(v * greatest(0::double, list_dot_product(w, embedding::double[]) + b))
+       + (select w from state1 where slot = {B2})))), 6) as score
+from embeddings, units group by vec_id"""
 
 
 ORACLES: dict[str, str] = {
@@ -297,10 +300,8 @@ ORACLES: dict[str, str] = {
         select cast("timestamp" as date) as "date", count(trade_id) as trade_count
         from ({TRADES}) where "timestamp" is not null group by 1""",
     "date_range": f"""
-        select lo as min_date, hi as max_date,
-               case when lo = hi then 'Data for ' || cast(lo as varchar)
-                    else 'Data covers from ' || cast(lo as varchar) || ' to ' || cast(hi as varchar) end as label
-        from (select cast(min("timestamp") as date) as lo, cast(max("timestamp") as date) as hi from ({TRADES}))""",
+        select cast(min("timestamp") as date) as min_date, cast(max("timestamp") as date) as max_date
+        from ({TRADES})""",
     "symbols": f"select distinct symbol from ({TRADES}) where symbol is not null",
     "default_symbols": f"""
         select symbol from ({TRADES}) where symbol is not null
@@ -320,6 +321,20 @@ ORACLES: dict[str, str] = {
                     then 'ALERT' else 'CLEAR' end as status,
                max(sale_size) as largest, round(5 * avg(sale_size), 6) as threshold
         from ({TRADES})""",
+    "alert_status_clear": f"""
+        select case when exists (select 1 from ({BULK})
+                                 where sale_size > 5 * (select avg(sale_size) from ({BULK})))
+                    then 'ALERT' else 'CLEAR' end as status,
+               max(sale_size) as largest, round(5 * avg(sale_size), 6) as threshold
+        from ({BULK})""",
+    "daily_metrics_ordered": f"""
+        select *, cast(date_trunc('month', "date") as date) as month from ({DAILY}) order by "date", symbol""",
+    "encoded_messages": f"""
+        select type, case when cast(trade_id as bigint) % 3 = 1 then date_trunc('second', "timestamp") + interval 5 hour
+                          else date_trunc('second', "timestamp") end as "timestamp",
+               case when cast(trade_id as bigint) % 13 <> 0 then symbol end as symbol,
+               sale_size, round(sale_price, 4) as sale_price, trade_id
+        from ({TRADES})""",
     "union_days": f"""
         select {TRADE_COLUMNS} from ({TRADES})
         union all select type, "timestamp", symbol, sale_size, sale_price, null from ({BULK})""",
@@ -333,11 +348,12 @@ ORACLES: dict[str, str] = {
                cast(sum(last_sale_size) as bigint) as total_volume
         from ({STG_TOPS}) group by 1, 2""",
     "fct_tops_by_type": f"""
-        select trade_date, symbol, round(avg(last_sale_price) filter (where is_trade = 1), 6) as avg_price,
-               round(avg(ask_price - bid_price)
-                     filter (where is_trade = 0 and (bid_size > 0 or ask_size > 0)), 6) as avg_spread,
-               cast(sum(last_sale_size) as bigint) as total_volume
-        from ({STG_TOPS}) group by 1, 2""",
+        select cast("timestamp" as date) as trade_date, symbol,
+               round(avg(price) filter (where type = 'trade_report' and price > 0), 6) as avg_price,
+               round(avg(ask_price - bid_price) filter (where type = 'quote_update' and bid_size > 0
+                     and ask_size > 0 and bid_price > 0 and ask_price > 0), 6) as avg_spread,
+               cast(coalesce(sum(size) filter (where type = 'trade_report'), 0) as bigint) as total_volume
+        from ({MESSAGES}) where symbol is not null and "timestamp" is not null group by 1, 2""",
     "fct_trades": f"""
         select symbol, round(sum(last_sale_size * last_sale_price), 2) as notional, count(*) as trade_count
         from ({STG_TRADES.format(trades=TRADES)}) group by symbol""",
@@ -353,7 +369,6 @@ ORACLES: dict[str, str] = {
     "daily_partitions": f'select *, cast("timestamp" as date) as "date" from ({TRADES})',
     "counted_write": f"select count(*) as stored, count(*) as reported from ({TRADES})",
     "curated_trades": CURATED,
-    "synthetic_trades": _synthetic(),
     "feed_payload_parse": f"select {TRADE_COLUMNS} from ({PARSED}) where reason is null",
     "malformed_rows": f"select payload, reason from ({PARSED}) where reason is not null",
     "file_date": f"""
@@ -380,8 +395,9 @@ ORACLES: dict[str, str] = {
         select * from ({PRESENT_TRADES}) where isodow("date") < 6""",
     "day_ingest": f"""
         select {TRADE_COLUMNS}, (select max(ts)::date from events) as "date" from ({PARSED}) where reason is null""",
-    "fraud_score": f"select vec_id, round({network('embedding[1:10]::double[]')}, 6) as score from embeddings",
+    "fraud_score": f"select vec_id, round({network('embedding::double[]', 64)}, 6) as score from embeddings",
     "scored_trades": SCORED,
+    "stored_weights": _stored_weights(),
     "fraud_gradient": _gradient(),
     "fraud_fit_losses": _fit_losses(),
 }

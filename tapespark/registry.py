@@ -27,7 +27,6 @@ from tapespark.session import scratch_path
 from tapespark.sinks import write_counted, write_csv, write_daily, write_parquet, write_summary
 from tapespark.sources import (
     calendar_of,
-    generate_trades,
     read_daily,
     read_feed_text,
     read_many_csv,
@@ -160,6 +159,19 @@ def alert_status(spark, sf_dir):
     return _rounded(alerts.alert_status(_trades(spark, sf_dir)))
 
 
+@query
+def alert_status_clear(spark, sf_dir):
+    """Line items hold no trade that stands out."""
+    return _rounded(alerts.alert_status(_bulk_trades(spark, sf_dir)))
+
+
+@query
+def daily_metrics_ordered(spark, sf_dir):
+    """The metrics sorted for presentation, each row with its place."""
+    shown = metrics.ordered(metrics.daily_metrics(_trades(spark, sf_dir)), "date", "symbol")
+    return _rounded(shown.withColumn("month", F.trunc("date", "month")))
+
+
 @query
 def union_days(spark, sf_dir):
     without_ids = _bulk_trades(spark, sf_dir).drop("trade_id")
@@ -173,6 +185,12 @@ def trade_reports(spark, sf_dir):
     return normalize.to_trades(_messages(spark, sf_dir))
 
 
+@query
+def encoded_messages(spark, sf_dir):
+    """Trades from messages of bytes, decimals and times with offsets."""
+    return normalize.to_trades(adapters.encoded_messages_from_events(_table(spark, sf_dir, "events")))
+
+
 @query
 def tops_normalized(spark, sf_dir):
     return normalize.to_tops(_messages(spark, sf_dir))
@@ -266,14 +284,7 @@ def counted_write(spark, sf_dir):
 
 @query
 def curated_trades(spark, sf_dir):
-    path = scratch_path(spark, "raw")
-    write_parquet(_trades(spark, sf_dir), path)
-    return curate(read_parquet(spark, path))
-
-
-@query
-def synthetic_trades(spark, sf_dir):
-    return generate_trades(spark, _table(spark, sf_dir, "orders").count())
+    return curate(_trades(spark, sf_dir))
 
 
 # Feed text
@@ -318,22 +329,25 @@ def feed_calendar(spark, sf_dir):
 
 
 def _event_dates(spark: SparkSession, sf_dir: str, condition: str) -> DataFrame:
-    days = _table(spark, sf_dir, "events").where(condition)
-    return days.select(F.date_format("ts", "yyyyMMdd").alias("date_str"))
+    """(date_str, rows) of the days with events that fit; days are told apart before they are
+    written out."""
+    days = _table(spark, sf_dir, "events").where(condition).groupBy(F.to_date("ts").alias("day"))
+    return days.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.date_format("day", "yyyyMMdd").alias("date_str"), "rows"
+    )
 
 
 def _completed(spark, sf_dir):
-    return _event_dates(spark, sf_dir, "day(ts) % 5 = 0").distinct()
+    return _event_dates(spark, sf_dir, "day(ts) % 5 = 0").select("date_str")
 
 
 def _files(spark, sf_dir):
-    dates = _event_dates(spark, sf_dir, "day(ts) % 7 <> 0").distinct()
+    dates = _event_dates(spark, sf_dir, "day(ts) % 7 <> 2")
     return dates.select(feed_file_name(F.col("date_str")).alias("file_name"))
 
 
 def _counts(spark, sf_dir):
-    reports = _event_dates(spark, sf_dir, "event_type = 'purchase' and day(ts) % 11 <> 0")
-    return reports.groupBy("date_str").agg(F.count(F.lit(1)).alias("rows"))
+    return _event_dates(spark, sf_dir, "event_type = 'purchase' and day(ts) % 11 <> 0")
 
 
 @query
@@ -386,7 +400,7 @@ def summary_file(spark, sf_dir):
 def _stored_feeds(spark: SparkSession, sf_dir: str) -> str:
     """Feed files of the events, lacking those of some days."""
     return adapters.write_feeds(
-        _payloads(spark, sf_dir).where("cast(substr(date_str, 7, 2) as int) % 7 <> 0"),
+        _payloads(spark, sf_dir).where("cast(substr(date_str, 7, 2) as int) % 7 <> 2"),
         scratch_path(spark, "feeds"),
     )
 
@@ -423,9 +437,13 @@ def day_ingest(spark, sf_dir):
 
 # Model
 
-def _weights() -> Weights:
+#: Numbers of a vector, all of which the network takes.
+WIDTH = 64
+
+
+def _weights(inputs: int = INPUTS) -> Weights:
     """Small regular weights which another engine can state as well."""
-    unit, given = np.arange(HIDDEN), np.arange(INPUTS)
+    unit, given = np.arange(HIDDEN), np.arange(inputs)
     return Weights(
         ((31 * unit[:, None] + 17 * given) % 13 - 6) / 10,
         (unit % 5 - 2) / 10,
@@ -436,8 +454,20 @@ def _weights() -> Weights:
 
 @query
 def fraud_score(spark, sf_dir):
-    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, INPUTS).alias("features"))
-    return _rounded(score(vectors, "features", _weights()).drop("features"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("features"))
+    return _rounded(score(vectors, "features", _weights(WIDTH)).drop("features"))
+
+
+@query
+def stored_weights(spark, sf_dir):
+    """Weights fitted for one epoch, saved, loaded and applied."""
+    path = scratch_path(spark, "weights")
+    fitted, _ = training.fit(
+        _training_table(spark, sf_dir), "features", "label", epochs=1, start=_weights(WIDTH)
+    )
+    training.save_weights(spark, fitted, path)
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("features"))
+    return _rounded(score(vectors, "features", training.load_weights(spark, path)).drop("features"))
 
 
 @query
@@ -462,10 +492,10 @@ def _training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fraud_gradient(spark, sf_dir):
     rows = adapters.training_rows(_table(spark, sf_dir, "embeddings"), _table(spark, sf_dir, "labels"))
-    return _rounded(training.gradient(rows, "features", "label", _weights()), 9)
+    return _rounded(training.gradient(rows, "features", "label", _weights(WIDTH)), 9)
 
 
 @query
 def fraud_fit_losses(spark, sf_dir):
-    _, losses = training.fit(_training_table(spark, sf_dir), "features", "label", start=_weights())
+    _, losses = training.fit(_training_table(spark, sf_dir), "features", "label", start=_weights(WIDTH))
     return _rounded(spark.createDataFrame(list(enumerate(losses, 1)), "epoch int, loss double"), 9)

@@ -49,12 +49,6 @@ OUTCOME_SCHEMA = _struct({
     "date_str": _text, "status": _text, "rows": _long, "reason": _text,
 })
 
-SYNTHETIC_SCHEMA = _struct({
-    "trade_id": _text, "timestamp": _time, "symbol": _text,
-    "price": _double, "quantity": _long, "side": _text,
-    "buyer_id": _text, "seller_id": _text, "venue": _text,
-})
-
 WEIGHTS_SCHEMA = _struct({
     "layer": _text, "rows": _int, "cols": _int, "values": T.ArrayType(_double),
 })

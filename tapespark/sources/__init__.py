@@ -1,4 +1,4 @@
-"""Where rows come from: files, feed text, calendars, generated trades."""
+"""Where rows come from: files, feed text, calendars."""
 
 from tapespark.sources.calendar import calendar_of, feed_calendar, trading_days
 from tapespark.sources.feed import list_feed_files, read_feed_text, with_file_date
@@ -8,12 +8,10 @@ from tapespark.sources.files import (
     read_parquet,
     read_trades_csv,
 )
-from tapespark.sources.synthetic import generate_trades
 
 __all__ = [
     "calendar_of",
     "feed_calendar",
-    "generate_trades",
     "list_feed_files",
     "read_daily",
     "read_feed_text",

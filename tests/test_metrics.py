@@ -103,9 +103,9 @@ def test_pivot_leaves_absent_cells_null_and_drops_other_symbols(frame):
 
 
 def test_range_of_one_day_and_of_several(frame):
-    assert metrics.date_range(frame(trade("A", 1, 1.0))).first().label == "Data for 2024-01-01"
+    assert metrics.date_range(frame(trade("A", 1, 1.0))).first().min_date == dt.date(2024, 1, 1)
     several = metrics.date_range(frame(trade("A", 1, 1.0), trade("A", 1, 1.0, at=NEXT))).first()
-    assert several.label == "Data covers from 2024-01-01 to 2024-01-02"
+    assert several.max_date == dt.date(2024, 1, 2)
 
 
 def test_default_symbol_is_the_first_to_trade(frame):

@@ -14,6 +14,33 @@ def con():
     return connect(SF_DIR)
 
 
+@pytest.fixture(scope="module")
+def larger():
+    return connect("/root/testdata/sf0.01")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql_has_rows(larger, name):
+    assert larger.execute(f"select count(*) from ({ORACLES[name]})").fetchone()[0] > 0
+
+
+@pytest.mark.parametrize(("name", "column", "expected"), [
+    ("ingest_outcomes", "status", {"SUCCESS", "FAILED", "SKIPPED"}),
+    ("ingest_outcomes", "reason", {"already exists", "missing file", "no trade_report rows", None}),
+    ("summary_file", "reason", {"already exists", "missing file", "no trade_report rows", None}),
+    ("range_ingest", "reason", {"already exists", "missing file", None}),
+    ("malformed_rows", "reason", {"field count", "bad timestamp", "bad sale_size", "bad sale_price"}),
+])
+def test_every_branch_occurs(larger, name, column, expected):
+    rows = larger.execute(f"select distinct {column} from ({ORACLES[name]})").fetchall()
+    assert {row[0] for row in rows} == expected
+
+
+def test_trade_filter_reaches_the_scan(spark, capsys):
+    QUERIES["large_trades"](spark, SF_DIR).explain("formatted")
+    assert "EqualTo(event_type,purchase)" in capsys.readouterr().out
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
     assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == []
