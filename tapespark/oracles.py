@@ -111,6 +111,11 @@ select {TRADE_COLUMNS}, {FEED_DAY} as "date" from ({PARSED})
 where reason is null and day({FEED_DAY}) % 7 <> 2"""
 
 
+PRESENT_REJECTS = f"""
+select payload, reason, {FEED_DAY} as "date" from ({PARSED})
+where reason is not null and day({FEED_DAY}) % 7 <> 2"""
+
+
 def weekdays(first: str, last: str, source: str) -> str:
     return f"""
 select cast(d as date) as trade_date, strftime(d, '%Y%m%d') as date_str
@@ -153,16 +158,18 @@ with bounds as (select min(ts)::date as lo, max(ts)::date as hi from events wher
 days as ({weekdays("lo", "hi", "bounds")}),
 found as (select distinct {FEED_DAY} as d from ({PAYLOADS}) where day({FEED_DAY}) % 7 <> 2),
 counted as (select "date" as d, count(*) as n from ({PRESENT_TRADES}) group by 1),
+refused as (select "date" as d, count(*) as r from ({PRESENT_REJECTS}) group by 1),
 fresh as (
     select trade_date, date_str, case when n is null then 'FAILED' else 'SUCCESS' end as status, n as rows,
            case when trade_date not in (select d from found) then 'missing file'
-                when n is null then 'no trade_report rows' end as reason
-    from days left join counted on trade_date = d),
+                when n is null then 'no trade_report rows' end as reason,
+           case when trade_date in (select d from found) then coalesce(r, 0) end as rejected
+    from days left join counted on trade_date = counted.d left join refused on trade_date = refused.d),
 first_run as (select fresh.* from fresh, bounds where trade_date <= lo + cast(floor((hi - lo) / 2) as integer))
-select date_str, status, rows, reason from first_run
+select date_str, status, rows, reason, rejected from first_run
 union all
 select date_str, case when done then 'SKIPPED' else status end, case when not done then rows end,
-       case when done then 'already exists' else reason end
+       case when done then 'already exists' else reason end, case when not done then rejected end
 from (select *, date_str in (select date_str from first_run where status = 'SUCCESS') as done from fresh)"""
 
 UNITS, GIVEN = range(32), range(64)
@@ -393,6 +400,10 @@ ORACLES: dict[str, str] = {
     "range_ingest": TWO_RUNS,
     "range_ingest_trades": f"""
         select * from ({PRESENT_TRADES}) where isodow("date") < 6""",
+    "range_ingest_rejects": f"""
+        select * from ({PRESENT_REJECTS}) where isodow("date") < 6""",
+    "csv_rejects": f"""
+        select trade_id, 'sale_size' as columns from ({TRADES}) where cast(trade_id as bigint) % 11 = 0""",
     "day_ingest": f"""
         select {TRADE_COLUMNS}, (select max(ts)::date from events) as "date" from ({PARSED}) where reason is null""",
     "fraud_score": f"select vec_id, round({network('embedding::double[]', 64)}, 6) as score from embeddings",

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,19 +17,29 @@ from tapespark.functions.feed import FEED_STEM
 from tapespark.operators.normalize import parse_payload, split_malformed
 from tapespark.operators.outcomes import SUCCESS, outcomes, pending, present
 from tapespark.schemas import OUTCOME_SCHEMA, TRADE_SCHEMA
-from tapespark.sinks.writers import write_daily, write_summary
-from tapespark.sources.calendar import as_date, calendar_of, feed_calendar
-from tapespark.sources.feed import list_feed_files, read_feed_text, with_file_date
+from tapespark.sinks.writers import write_summary
+from tapespark.sources.calendar import as_date, calendar_of, feed_calendar, normal_prefix
+from tapespark.sources.feed import list_feed_files, path_exists, read_feed_text
 from tapespark.sources.files import read_daily
 
+#: Days written at the same time.
+AT_ONCE = 8
 
-_LEDGER_SCHEMA = T.StructType([*OUTCOME_SCHEMA.fields, T.StructField("run", T.StringType(), True)])
+_LEDGER_SCHEMA = T.StructType([
+    *OUTCOME_SCHEMA.fields,
+    T.StructField("rejected", T.LongType(), True),
+    T.StructField("run", T.StringType(), True),
+])
 
 
 def trades_root(out_root: str) -> str:
     return f"{out_root.rstrip('/')}/trades"
 
 
+def rejects_root(out_root: str) -> str:
+    return f"{out_root.rstrip('/')}/rejects"
+
+
 def outcomes_root(out_root: str) -> str:
     return f"{out_root.rstrip('/')}/outcomes"
 
@@ -55,74 +67,89 @@ def completed_dates(spark: SparkSession, out_root: str) -> DataFrame:
     return done.select("date_str").distinct()
 
 
-def feed_trades(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Well-formed trades of feed files, with the date in each file's name."""
-    dated = with_file_date(read_feed_text(spark, paths)).drop("file_path")
-    good, _ = split_malformed(parse_payload(dated))
-    return good.select(*TRADE_SCHEMA.names, "date")
-
+def read_trades(spark: SparkSession, out_root: str) -> DataFrame:
+    """Stored trades of the dates on record as finished; what a died run left is not seen."""
+    done = completed_dates(spark, out_root).select(F.to_date("date_str", "yyyyMMdd").alias("date"))
+    return read_daily(spark, trades_root(out_root)).join(done, "date", "left_semi").select(
+        *TRADE_SCHEMA.names, "date"
+    )
 
-def _load(spark: SparkSession, paths: list[str], root: str) -> list[dt.date]:
-    """Write the files' trades by day and return the days which had any.
 
-    A task reads one file, hence one day, so rows go to their folders without a shuffle.
-    """
-    seen = Observation()
-    days = F.collect_set("date").alias("days")
-    write_daily(feed_trades(spark, paths).observe(seen, days), root, clustered=True)
-    return list(seen.get["days"])
+def read_rejects(spark: SparkSession, out_root: str) -> DataFrame:
+    """Malformed payloads with the reason for each and the date of the feed they came in."""
+    schema = "payload string, reason string, date date"
+    return spark.read.schema(schema).parquet(rejects_root(out_root))
 
 
-def _load_readable(
-    spark: SparkSession, inputs: dict[str, str], root: str
-) -> tuple[list[dt.date], dict[str, str]]:
-    """Load all files; set those aside which cannot be read and load the rest.
+def _load(spark: SparkSession, path: str, day: dt.date, out_root: str) -> tuple[int, int]:
+    """Write one day's trades and rejects, each to a folder of its own; how many there are.
 
-    One job covers all files.  It is repeated only when Spark names an unreadable one,
-    at most once per such file.
+    Both are counted while the trades are written.
     """
-    inputs, errors = dict(inputs), {}
-    while inputs:
-        try:
-            return _load(spark, list(inputs.values()), root), errors
-        except (PySparkException, Py4JJavaError) as failure:
-            broken = [day for day, path in inputs.items() if _names(str(failure), path)]
-            if not broken:
-                raise
-            for day in broken:
-                errors[day] = f"unreadable file {inputs.pop(day)}"
-    return [], errors
-
-
-def _names(message: str, path: str) -> bool:
-    tail = path.rstrip("/").rsplit("/", 1)[-1]
-    return "FAILED_READ_FILE" in message and tail in message
-
-
-def _ingest(spark: SparkSession, calendar: DataFrame, raw_prefix: str, out_root: str, run: str) -> DataFrame:
+    parsed = parse_payload(read_feed_text(spark, [path]).select("value"))
+    seen = Observation()
+    counted = parsed.observe(
+        seen,
+        F.count_if(F.col("reason").isNull()).alias("good"),
+        F.count_if(F.col("reason").isNotNull()).alias("bad"),
+    )
+    target = f"{trades_root(out_root)}/date={day}"
+    rejects = f"{rejects_root(out_root)}/date={day}"
+    good, _ = split_malformed(counted)
+    good.select(*TRADE_SCHEMA.names).write.mode("overwrite").parquet(target)
+    told = seen.get
+    # A feed with rejects is read a second time for them alone; one without is not.
+    if told["bad"]:
+        _, bad = split_malformed(parsed)
+        bad.write.mode("overwrite").parquet(rejects)
+    return told["good"], told["bad"]
+
+
+def _try_load(spark: SparkSession, path: str, day: dt.date, out_root: str) -> tuple[int, int, str | None]:
+    try:
+        return *_load(spark, path, day, out_root), None
+    except (PySparkException, Py4JJavaError) as failure:
+        if "FAILED_READ_FILE" not in str(failure):
+            raise
+        return 0, 0, f"unreadable file {path}"
+
+
+def _load_all(spark: SparkSession, inputs: dict[str, str], out_root: str) -> list[tuple]:
+    """(date_str, rows, rejected, error) of every input, AT_ONCE days at a time.
+
+    Every day is a write of its own with its own marker and counts, so an unreadable file
+    costs its own day only.
+    """
+    if not inputs:
+        return []
+    load = inheritable_thread_target(spark)(_try_load)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        runs = {
+            day: pool.submit(load, spark, path, as_date(day), out_root) for day, path in inputs.items()
+        }
+        return [(day, *run.result()) for day, run in runs.items()]
+
+
+def _ingest(
+    spark: SparkSession, calendar: DataFrame, files: DataFrame, out_root: str, run: str
+) -> DataFrame:
     _record(spark.createDataFrame([], _LEDGER_SCHEMA), out_root)
     done = completed_dates(spark, out_root)
-    files = list_feed_files(spark, raw_prefix)
     due = present(pending(calendar, done), files).select("date_str", "input_path")
-    # One path per weekday of the calendar; the file scan keeps the same list.
+    # One path per weekday of the calendar.
     inputs = {row.date_str: row.input_path for row in due.collect()}
 
-    root = trades_root(out_root)
-    days, errors = _load_readable(spark, inputs, root)
-    counts = (
-        read_daily(spark, root)
-        .where(F.col("date").isin(days))
-        .groupBy(F.date_format("date", "yyyyMMdd").alias("date_str"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        if days
-        else spark.createDataFrame([], "date_str string, rows long")
+    loaded = spark.createDataFrame(
+        _load_all(spark, inputs, out_root), "date_str string, rows long, rejected long, error string"
     )
-    broken = spark.createDataFrame(list(errors.items()), "date_str string, error string")
-    result = outcomes(calendar, done, files, counts, broken)
+    result = outcomes(
+        calendar, done, files, loaded.select("date_str", "rows"),
+        loaded.select("date_str", "error").where("error is not null"),
+    ).join(loaded.select("date_str", "rejected"), "date_str", "left")
 
     run_id = f"{run}-{uuid.uuid4().hex}"
     _record(result.withColumn("run", F.lit(run_id)), out_root)
-    ours = read_outcomes(spark, out_root).where(F.col("run") == run_id).select(*OUTCOME_SCHEMA.names)
+    ours = read_outcomes(spark, out_root).where(F.col("run") == run_id).drop("run")
     write_summary(ours, f"{out_root.rstrip('/')}/summary_{run}.json")
     return ours
 
@@ -136,21 +163,31 @@ def ingest_range(
 ) -> DataFrame:
     """Ingest the feed files of all weekdays in [start, end]; the outcome of each date.
 
-    Trades land in ``<out_root>/trades/date=…``, outcomes in ``<out_root>/outcomes``
-    and the summary in ``<out_root>/summary_<start>_<end>.json``.  Finished dates are
-    skipped; missing, empty and unreadable files fail their own date only.
+    Trades land in ``<out_root>/trades/date=…``, malformed payloads in
+    ``<out_root>/rejects/date=…``, outcomes in ``<out_root>/outcomes`` and the summary in ``<out_root>/summary_<start>_<end>.json``.  Finished dates are
+    skipped; missing, empty and unreadable files fail their own date only.  ``rejected``
+    counts a date's malformed payloads.
     """
     first, last = as_date(start), as_date(end)
+    raw_prefix = normal_prefix(raw_prefix)
     calendar = feed_calendar(spark, first, last, raw_prefix, f"{trades_root(out_root)}/")
-    return _ingest(spark, calendar, raw_prefix, out_root, f"{first:%Y%m%d}_{last:%Y%m%d}")
+    files = list_feed_files(spark, raw_prefix)
+    return _ingest(spark, calendar, files, out_root, f"{first:%Y%m%d}_{last:%Y%m%d}")
 
 
 def ingest_day(spark: SparkSession, path: str, out_root: str) -> DataFrame:
-    """Ingest one feed file, the day being that in its name; its outcome."""
-    raw_prefix, stem, name = path.rpartition(FEED_STEM)
+    """Ingest one feed file, the day being that in its name; its outcome.
+
+    The file is taken as it is named, whatever protocol its name tells.
+    """
+    _, stem, name = path.rpartition(FEED_STEM)
     if not stem:
         raise ValueError(f"no trading day in the file name: {path}")
     day = as_date(name.split("_")[0])
     days = spark.range(1).select(F.lit(day).alias("trade_date"))
-    calendar = calendar_of(days, raw_prefix, f"{trades_root(out_root)}/")
-    return _ingest(spark, calendar, raw_prefix, out_root, f"{day:%Y%m%d}_{day:%Y%m%d}")
+    calendar = calendar_of(days, "", f"{trades_root(out_root)}/").withColumns(
+        {"file_name": F.lit(f"{stem}{name}"), "input_path": F.lit(path)}
+    )
+    there = [(f"{stem}{name}",)] if path_exists(spark, path) else []
+    files = spark.createDataFrame(there, "file_name string")
+    return _ingest(spark, calendar, files, out_root, f"{day:%Y%m%d}_{day:%Y%m%d}")

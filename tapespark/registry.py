@@ -20,11 +20,12 @@ from tapespark.operators.combine import union_all
 from tapespark.operators.curate import curate
 from tapespark.operators.scoring import score
 from tapespark.plans.daily import run_daily
-from tapespark.plans.ingest import ingest_day, ingest_range, read_outcomes, trades_root
+from tapespark.plans.ingest import ingest_day, ingest_range, read_outcomes, read_rejects, read_trades
 from tapespark.plans.models import build_models
 from tapespark.schemas import TRADE_SCHEMA
 from tapespark.session import scratch_path
 from tapespark.sinks import write_counted, write_csv, write_daily, write_parquet, write_summary
+from tapespark.sources import csv_rejects as rejects_of_csv
 from tapespark.sources import (
     calendar_of,
     read_daily,
@@ -256,7 +257,20 @@ def csv_many(spark, sf_dir):
     root = scratch_path(spark, "csv")
     write_csv(_trades(spark, sf_dir), f"{root}/a")
     write_csv(_bulk_trades(spark, sf_dir).select("symbol", "timestamp", "sale_price", "sale_size"), f"{root}/b")
-    return read_many_csv(spark, [f"{root}/a", f"{root}/b"], same_header=False)
+    return read_many_csv(spark, [f"{root}/a", f"{root}/b"])
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    """Trades whose sizes were written as words on every eleventh row."""
+    path = scratch_path(spark, "csv")
+    worded = _trades(spark, sf_dir).withColumn(
+        "sale_size", F.when(F.col("trade_id").cast("long") % 11 == 0, "many").otherwise(F.col("sale_size").cast("string"))
+    )
+    write_csv(worded, path)
+    return rejects_of_csv(spark, path).select(
+        F.get_json_object("row", "$.trade_id").alias("trade_id"), F.array_join("columns", ",").alias("columns")
+    )
 
 
 @query
@@ -413,7 +427,7 @@ def range_ingest(spark, sf_dir):
     middle = ends.min_date + (ends.max_date - ends.min_date) / 2
     ingest_range(spark, ends.min_date, middle, prefix, out)
     ingest_range(spark, ends.min_date, ends.max_date, prefix, out)
-    return read_outcomes(spark, out).select("date_str", "status", "rows", "reason")
+    return read_outcomes(spark, out).select("date_str", "status", "rows", "reason", "rejected")
 
 
 @query
@@ -421,7 +435,15 @@ def range_ingest_trades(spark, sf_dir):
     prefix, out = _stored_feeds(spark, sf_dir), scratch_path(spark, "out")
     ends = metrics.date_range(_trades(spark, sf_dir)).first()
     ingest_range(spark, ends.min_date, ends.max_date, prefix, out)
-    return read_daily(spark, trades_root(out))
+    return read_trades(spark, out)
+
+
+@query
+def range_ingest_rejects(spark, sf_dir):
+    prefix, out = _stored_feeds(spark, sf_dir), scratch_path(spark, "out")
+    ends = metrics.date_range(_trades(spark, sf_dir)).first()
+    ingest_range(spark, ends.min_date, ends.max_date, prefix, out)
+    return read_rejects(spark, out)
 
 
 @query
@@ -432,7 +454,7 @@ def day_ingest(spark, sf_dir):
     last = payloads.agg(F.max("feed").alias("feed")).first().feed
     prefix = adapters.write_feeds(payloads.withColumn("feed", F.lit(last)), root)
     ingest_day(spark, f"{prefix}{last}", out)
-    return read_daily(spark, trades_root(out))
+    return read_trades(spark, out)
 
 
 # Model

@@ -3,6 +3,7 @@
 from tapespark.sources.calendar import calendar_of, feed_calendar, trading_days
 from tapespark.sources.feed import list_feed_files, read_feed_text, with_file_date
 from tapespark.sources.files import (
+    csv_rejects,
     read_daily,
     read_many_csv,
     read_parquet,
@@ -11,6 +12,7 @@ from tapespark.sources.files import (
 
 __all__ = [
     "calendar_of",
+    "csv_rejects",
     "feed_calendar",
     "list_feed_files",
     "read_daily",

@@ -41,6 +41,15 @@ def calendar_of(days: DataFrame, raw_prefix: str, out_prefix: str) -> DataFrame:
     )
 
 
+def normal_prefix(prefix: str) -> str:
+    """A folder's prefix: trimmed, with one slash at its end.
+
+    A prefix that ends in ``=`` names the folders of a partitioned dataset and stays.
+    """
+    prefix = prefix.strip()
+    return prefix if not prefix or prefix.endswith("=") else f"{prefix.rstrip('/')}/"
+
+
 def as_date(value: dt.date | str) -> dt.date:
     """A date from ``yyyyMMdd`` text, or the date itself."""
     if isinstance(value, dt.datetime):

@@ -30,6 +30,17 @@ def with_file_date(df: DataFrame, path_col: str = "file_path") -> DataFrame:
     return df.withColumn("date", feed_date(F.col(path_col)))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; no content is read."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def list_feed_files(spark: SparkSession, raw_prefix: str) -> DataFrame:
     """Distinct names of the feed files under a path prefix; no content is read."""
     try:

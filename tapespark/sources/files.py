@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapespark.functions.casting import conform
+from tapespark.functions.casting import conform, safe_cast
 from tapespark.operators.combine import union_all
 from tapespark.schemas import TRADE_SCHEMA, with_date
 
@@ -33,17 +35,49 @@ def read_many_csv(
     spark: SparkSession,
     paths: Sequence[str],
     schema: T.StructType | None = TRADE_SCHEMA,
-    same_header: bool = True,
 ) -> DataFrame:
-    """Several trade files as one table, matched by column name.
+    """Several trade files as one table, matched by column name; absent columns are NULL.
 
-    Files which share a header are one scan, however many there are; a file with
-    another header makes that scan fail.  ``same_header=False`` reads each path on its
-    own and lines the columns up, filling absent ones with NULL.
+    One job reads the first line of every file; files with the same header are one scan,
+    so the plan is as wide as there are different headers.
     """
-    if same_header:
-        return read_trades_csv(spark, paths, schema)
-    return union_all([read_trades_csv(spark, path, schema) for path in paths])
+    files = spark.read.text(list(paths), wholetext=False).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("begin"),
+        "value",
+    )
+    # Of a file's blocks the one at its start holds the header, in its first line.
+    heads = files.where("begin = 0").mapInArrow(_first_lines, "path string, header string")
+    groups = heads.groupBy("header").agg(F.sort_array(F.collect_set("path")).alias("paths")).orderBy("header")
+    return union_all([read_trades_csv(spark, row.paths, schema) for row in groups.collect()])
+
+
+def _first_lines(batches):
+    """The first line of each file of a task, in the order lines are read."""
+    seen = set()
+    for batch in batches:
+        found = []
+        for path, value in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
+            if path not in seen:
+                seen.add(path)
+                found.append((path, value.removeprefix("\ufeff")))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in found], pa.string()), pa.array([h for _, h in found], pa.string())],
+            names=["path", "header"],
+        )
+
+
+def csv_rejects(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = TRADE_SCHEMA) -> DataFrame:
+    """Rows of CSV files whose text does not convert: the row as JSON and the columns at fault.
+
+    ``read_trades_csv`` has NULL in those columns.
+    """
+    raw = spark.read.csv(path if isinstance(path, str) else list(path), header=True, enforceSchema=False)
+    bad = F.array_compact(F.array(*[
+        F.when(F.col(f.name).isNotNull() & safe_cast(F.col(f.name), f.dataType).isNull(), F.lit(f.name))
+        for f in schema.fields if f.name in raw.columns
+    ]))
+    return raw.select(F.to_json(F.struct("*")).alias("row"), bad.alias("columns")).where(F.size("columns") > 0)
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

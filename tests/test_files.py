@@ -7,7 +7,7 @@ from tapespark.functions.feed import feed_date
 from tapespark.operators.metrics import with_trade_date
 from tapespark.schemas import TRADE_SCHEMA
 from tapespark.sinks import write_counted, write_csv, write_daily
-from tapespark.sources import read_daily, read_many_csv, read_trades_csv
+from tapespark.sources import csv_rejects, read_daily, read_many_csv, read_trades_csv
 
 DAY, NEXT = dt.datetime(2024, 1, 1, 9, 30), dt.datetime(2024, 1, 2, 9, 30, 0, 250)
 
@@ -38,10 +38,24 @@ def test_files_with_other_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("symbol,sale_size\nA,1\n")
     (tmp_path / "b.csv").write_text("sale_size,symbol\n2,B\n")
     paths = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
-    got = read_many_csv(spark, paths, same_header=False).orderBy("symbol").collect()
+    got = read_many_csv(spark, paths).orderBy("symbol").collect()
     assert [(r.symbol, r.sale_size) for r in got] == [("A", 1), ("B", 2)]
-    with pytest.raises(Exception, match="CSV header does not conform"):
-        read_many_csv(spark, paths).collect()
+
+
+def test_one_scan_per_header(spark, tmp_path):
+    for k in range(30):
+        columns, row = ("symbol,sale_size", f"A,{k}") if k % 2 else ("sale_size,symbol", f"{k},A")
+        (tmp_path / f"{k}.csv").write_text(f"{columns}\n{row}\n")
+    got = read_many_csv(spark, [str(tmp_path / f"{k}.csv") for k in range(30)])
+    assert sorted(r.sale_size for r in got.collect()) == list(range(30))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+def test_csv_rejects(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("symbol,sale_size,sale_price\nA,1,2.5\nB,many,x\nC,,\n")
+    [row] = csv_rejects(spark, str(tmp_path / "a.csv")).collect()
+    assert row.columns == ["sale_size", "sale_price"]
+    assert '"symbol":"B"' in row.row
 
 
 @pytest.mark.parametrize("values", [[], [(DAY, 1), (DAY, 2), (NEXT, 3)]])

@@ -5,8 +5,8 @@ import json
 import pytest
 
 from tapespark.operators.outcomes import outcomes, run_summary
-from tapespark.plans.ingest import ingest_day, ingest_range, read_outcomes, trades_root
-from tapespark.sources import feed_calendar, read_daily
+from tapespark.plans.ingest import ingest_day, ingest_range, read_outcomes, read_rejects, read_trades
+from tapespark.sources import feed_calendar
 
 
 def feed_name(day, digit=6):
@@ -90,6 +90,10 @@ def test_range_run_twice(spark, tmp_path):
         "20240108": ("FAILED", None),
         "20240109": ("FAILED", None),
     }
+    assert {d: r.rejected for d, r in first.items() if r.rejected} == {"20240101": 1, "20240103": 1}
+    assert {(r.date.day, r.reason) for r in read_rejects(spark, str(out)).collect()} == {
+        (1, "field count"), (3, "field count")
+    }
     assert first["20240104"].reason == "missing file"
     assert first["20240108"].reason.startswith("unreadable file")
     assert first["20240102"].reason == "no trade_report rows"
@@ -105,7 +109,7 @@ def test_range_run_twice(spark, tmp_path):
         "SKIPPED", "FAILED", "FAILED", "SKIPPED", "SKIPPED", "SKIPPED", "FAILED",
     ]
     assert read_outcomes(spark, str(out)).count() == 21
-    stored = read_daily(spark, trades_root(str(out))).collect()
+    stored = read_trades(spark, str(out)).collect()
     assert sorted((r.date.day, r.sale_size) for r in stored) == [(1, 1), (1, 2), (4, 1), (5, 1), (8, 1)]
 
     [part] = (out / "summary_20240101_20240109.json").glob("*.json")
@@ -120,7 +124,7 @@ def test_a_run_which_died_before_recording_is_made_good(spark, tmp_path):
     stale = out / "trades" / "date=2024-01-01"
     spark.range(5).selectExpr("'x' as type", "id as sale_size").write.parquet(str(stale))
     assert ingest_range(spark, "20240101", "20240101", f"{raw}/", str(out)).first().rows == 2
-    assert read_daily(spark, trades_root(str(out))).count() == 2
+    assert read_trades(spark, str(out)).count() == 2
 
 
 def test_empty_range_and_no_files(spark, tmp_path):
@@ -135,6 +139,46 @@ def test_single_day(spark, tmp_path):
     put(raw, "20240102", good("20240102"))
     got = ingest_day(spark, str(raw / feed_name("20240102")), out).collect()
     assert [(r.date_str, r.status, r.rows) for r in got] == [("20240102", "SUCCESS", 1)]
-    assert [r.date for r in read_daily(spark, trades_root(out)).collect()] == [dt.date(2024, 1, 2)]
+    assert [r.date for r in read_trades(spark, out).collect()] == [dt.date(2024, 1, 2)]
     with pytest.raises(ValueError):
         ingest_day(spark, "raw/other.gz", out)
+
+
+def test_rows_of_a_date_without_outcome_are_not_seen(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    put(raw, "20240101", "quote_update,x")
+    stale = out / "trades" / "date=2024-01-01"
+    spark.range(5).selectExpr("'x' as type", "id as sale_size").write.parquet(str(stale))
+    got = ingest_range(spark, "20240101", "20240101", f"{raw}/", str(out)).first()
+    assert (got.status, got.reason) == ("FAILED", "no trade_report rows")
+    assert read_trades(spark, str(out)).count() == 0
+
+
+def test_a_torn_file_leaves_the_other_days_written_once(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    for day in ("20240101", "20240103"):
+        put(raw, day, good(day))
+    for day in ("20240102", "20240104", "20240105", "20240108"):
+        (raw / feed_name(day)).write_bytes(b"not gzip at all")
+    got = ingest_range(spark, "20240101", "20240108", f"{raw}/", str(out)).collect()
+    assert sorted(r.status for r in got) == ["FAILED"] * 4 + ["SUCCESS"] * 2
+    for day in ("2024-01-01", "2024-01-03"):
+        folder = out / "trades" / f"date={day}"
+        assert len({p.name.split("-", 2)[2] for p in folder.glob("part-*.parquet")}) == 1
+    assert read_trades(spark, str(out)).count() == 2
+
+
+@pytest.mark.parametrize("end", ["", "/", "//"])
+def test_prefix_with_and_without_slash(spark, tmp_path, end):
+    put(tmp_path / "raw", "20240101", good("20240101"))
+    got = ingest_range(spark, "20240101", "20240101", f" {tmp_path}/raw{end}", f"{tmp_path}/out").first()
+    assert got.status == "SUCCESS"
+
+
+def test_a_given_file_is_taken_whatever_its_protocol(spark, tmp_path):
+    put(tmp_path / "raw", "20240102", good("20240102"))
+    named = tmp_path / "raw" / feed_name("20240102", 5)
+    (tmp_path / "raw" / feed_name("20240102")).rename(named)
+    assert ingest_day(spark, str(named), str(tmp_path / "out")).first().status == "SUCCESS"
+    other = str(tmp_path / "raw" / feed_name("20240103"))
+    assert ingest_day(spark, other, str(tmp_path / "out")).first().reason == "missing file"
