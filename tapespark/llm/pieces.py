@@ -259,8 +259,8 @@ def _encoded(names: list[str], schema: pa.Schema):
     return run
 
 
-def encode(docs: DataFrame, model: str = MODEL, text: str = "text", blocks: int | None = None) -> DataFrame:
-    """``docs`` with ``ids``: the pieces of every whole text.  A column ``ids`` is replaced.
+def encode(docs: DataFrame, model: str = MODEL, blocks: int | None = None) -> DataFrame:
+    """``docs`` with ``ids``: the pieces of every whole ``text``.  A column ``ids`` is replaced.
 
     ``blocks``: groups in which words are gathered, as many as shuffle partitions if unset.
     """
@@ -272,14 +272,13 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", blocks: int
     table = piece_table(spark, pieces)
     longest = max(map(len, pieces), default=1)
     first_byte = pieces.get("<0x00>", (3, 0.0))[0]
-    names = [c for c in docs.columns if c not in ("ids", "block")]
+    names = [c for c in docs.columns if c != "ids"]
     # Rows are dealt by what they hold, so a lost block is dealt the same way again.
-    dealt = docs.select(*names, F.pmod(F.xxhash64(*names), F.lit(blocks)).cast("int").alias("block"))
-    if text != "text":
-        dealt = dealt.withColumn("text", F.col(text))
-    dealt = dealt.repartition("block")
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
+    dealt = docs.select(*names, block.alias("__block")).repartition("__block")
     words = (
-        dealt.select("block", "text").mapInArrow(_block_words, "block int, word string")
+        dealt.select(F.col("__block").alias("block"), "text")
+        .mapInArrow(_block_words, "block int, word string")
         .groupBy("word").agg(F.collect_list("block").alias("blocks"))
     )
     short = encode_words(words.where(F.length("word") <= LONG), table, longest, first_byte)
@@ -287,10 +286,10 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", blocks: int
         _long_words(pieces), "word string, blocks array<int>, ids array<int>"
     )
     known = short.select("word", "blocks", "ids").union(long)
-    returned = known.select("word", "ids", F.explode("blocks").alias("block"))
+    returned = known.select("word", "ids", F.explode("blocks").alias("__block"))
     out = docs.select(*names).schema.add("ids", T.ArrayType(T.IntegerType()))
     return (
-        dealt.groupBy("block").cogroup(returned.groupBy("block"))
+        dealt.groupBy("__block").cogroup(returned.groupBy("__block"))
         .applyInArrow(_encoded(names, to_arrow_schema(out)), out)
     )
 
