@@ -43,8 +43,8 @@ SHINGLE = 5
 PER_CENT = 75
 #: Entries gathered in a task before they are dealt out.
 CHUNK = 1 << 21
-#: Buckets of lists per shuffle partition, so that a group in memory stays small.
-BUCKETS = 4
+#: Entries per bucket of lists, which a task holds in memory (16 bytes each).
+PER_BUCKET = 1 << 20
 #: Entries of a block of a group.
 BLOCK = 1 << 20
 #: What a probe of a long entry costs beside one step of a merge.
@@ -375,16 +375,17 @@ def join(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     root = scratch_path(spark, "jaccard")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = BUCKETS * partitions
     texts = docs.select("doc_id", "text")
 
     texts.mapInArrow(_sized, "doc_id long, n_shingles long, class long").write.parquet(f"{root}/sized")
     sized = spark.read.schema("doc_id long, n_shingles long, class long").parquet(f"{root}/sized")
 
+    # Buckets follow the entries, so packed rows stay few and large whatever the partitions.
+    entries = sized.agg(F.sum("n_shingles")).first()[0] or 0
+    buckets = 1 + entries // PER_BUCKET
     (
         texts.mapInArrow(_dealt(buckets), DEALT)
-        .groupBy("bucket").applyInArrow(_shared(buckets), SHARED)
+        .groupBy("bucket").applyInArrow(_shared(1 + buckets // 4), SHARED)
         .groupBy("home").applyInArrow(_searched, SEARCHED)
         .write.parquet(f"{root}/searched")
     )
