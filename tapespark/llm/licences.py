@@ -141,7 +141,7 @@ def fit(clean: list[str], steps: int = 300, rate: float = 4.0, ridge: float = 1e
     x = np.concatenate([x, np.ones((len(x), 1), dtype=np.float32)], axis=1)
     y = np.array([families.index(f) for f in told] + [len(families) - 1] * len(learn))
     # Families and none weigh alike, however many paragraphs there are of each.
-    weigh = (1 / np.bincount(y, minlength=len(families)))[y].astype(np.float32)
+    weigh = (1 / np.maximum(np.bincount(y, minlength=len(families)), 1))[y].astype(np.float32)
     weigh /= weigh.sum()
     w = np.zeros((len(families), WIDTH + 1), dtype=np.float32)
     speed = np.zeros_like(w)

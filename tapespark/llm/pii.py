@@ -223,5 +223,8 @@ def _replaced(kind: Kind, pieces: Column, matches: Column) -> Column:
     mark = F.lit(f"[{kind.name.upper()}]")
     return F.zip_with(
         pieces, matches,
-        lambda p, m: F.concat(p, F.when(confirmed(kind.name, m), mark).otherwise(F.coalesce(m, F.lit("")))),
+        # The last piece has no match after it.
+        lambda p, m: F.concat(
+            p, F.when(m.isNull(), F.lit("")).when(confirmed(kind.name, m), mark).otherwise(m)
+        ),
     )

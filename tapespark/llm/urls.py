@@ -37,11 +37,12 @@ def standing_rules(spark: SparkSession) -> DataFrame:
 def with_parts(pages: DataFrame, url: str = "url") -> DataFrame:
     """``pages`` with ``host`` and ``path``; columns of those names are replaced."""
     at = F.instr(F.col(url), "://")
-    rest = F.when(at > 0, F.substring(F.col(url), at + 3, F.length(url))).otherwise(F.lit(""))
-    host = F.regexp_extract(F.coalesce(rest, F.lit("")), "^[^/?#]*", 0)
+    size = F.coalesce(F.length(url), F.lit(0))
+    rest = F.when(at > 0, F.substring(F.col(url), at + 3, size)).otherwise(F.lit(""))
+    host = F.regexp_extract(rest, "^[^/?#]*", 0)
     return pages.withColumn("host", F.translate(host, UPPER, LOWER)).withColumn(
         "path",
-        F.regexp_extract(F.substring(F.coalesce(rest, F.lit("")), F.length("host") + 1, F.length(url)), "^[^?#]*", 0),
+        F.regexp_extract(F.substring(rest, F.length("host") + 1, size), "^[^?#]*", 0),
     )
 
 
