@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,15 +34,24 @@ def build_session(app: str = "tapespark", master: str | None = None, **settings)
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    """One folder of a local session, removed when its process ends."""
+    root = tempfile.mkdtemp(prefix="tapespark-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared one named by ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a machine-local folder: on a cluster the
-    other executors could not see it.
+    other executors could not see it.  What is stored under ``spark.checkpoint.dir`` outlives
+    the session, as results may still be read from it: whoever owns that folder empties it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tapespark-")
+        root = _local_root()
     return f"{root.rstrip('/')}/tapespark/{label}-{uuid.uuid4().hex}"
