@@ -127,7 +127,8 @@ class Trees:
 
 def _edges(x: np.ndarray, bins: int) -> list[np.ndarray]:
     """Cut points per column: midpoints between neighbouring quantiles."""
-    marks = np.quantile(x, np.linspace(0, 1, bins + 1), axis=0, method="lower")
+    # One mark fewer than intervals, so that every column has at most ``bins`` bins.
+    marks = np.quantile(x, np.linspace(0, 1, bins), axis=0, method="lower")
     found = []
     for k in range(x.shape[1]):
         values = np.unique(marks[:, k])
