@@ -24,6 +24,7 @@ import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,8 @@ SIGN = "▁"
 #: Words longer than this are folded with a heap: the fold's time grows with their square.
 LONG = 120
 NO_EDGE = 1 << 40
+#: Partitions of words per block: a word has many substrings, which are sorted in memory.
+SPREAD = 4
 
 #: A word begins at a run of signs; a line feed is a word of its own, as no piece holds one.
 WORD = re.compile(f"{SIGN}+[^{SIGN}\n]*|[^{SIGN}\n]+|\n")
@@ -242,17 +245,23 @@ def _encoded(names: list[str], schema: pa.Schema):
     """A block's rows with ids, looked up among the block's words."""
 
     def run(rows: pa.Table, words: pa.Table) -> pa.Table:
-        known = dict(zip(words.column("word").to_pylist(), words.column("ids").to_pylist()))
-        ids = []
+        place = {word: k for k, word in enumerate(words.column("word").to_pylist())}
+        lists = words.column("ids").combine_chunks()
+        if isinstance(lists, pa.ChunkedArray):
+            lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], lists.type)
+        flat = lists.flatten().to_numpy()
+        counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        begins = np.concatenate([[0], np.cumsum(counts)])[:-1]
+        parts, sizes = [], [0]
         for text in rows.column("text"):
-            found: list[int] = []
-            for word in words_of(text.as_py()):
-                found.extend(known[word])
-            ids.append(pa.array(found, pa.int32()))
-        sizes = [0]
-        for part in ids:
-            sizes.append(sizes[-1] + len(part))
-        values = pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
+            at = np.array([place[word] for word in words_of(text.as_py())], dtype=np.int64)
+            many = counts[at]
+            # Where each piece stands in the flat list: its word's start and its place in the word.
+            ends = np.cumsum(many)
+            take = np.repeat(begins[at] - (ends - many), many) + np.arange(many.sum())
+            parts.append(flat[take].astype(np.int32))
+            sizes.append(sizes[-1] + len(take))
+        values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32())
         column = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), values)
         return pa.Table.from_arrays([*(rows.column(n) for n in names), column], schema=schema)
 
@@ -279,6 +288,7 @@ def encode(docs: DataFrame, model: str = MODEL, blocks: int | None = None) -> Da
     words = (
         dealt.select(F.col("__block").alias("block"), "text")
         .mapInArrow(_block_words, "block int, word string")
+        .repartition(SPREAD * blocks, "word")
         .groupBy("word").agg(F.collect_list("block").alias("blocks"))
     )
     short = encode_words(words.where(F.length("word") <= LONG), table, longest, first_byte)
