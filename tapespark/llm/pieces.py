@@ -36,11 +36,17 @@ SIGN = "▁"
 #: Words longer than this are folded with a heap: the fold's time grows with their square.
 LONG = 120
 NO_EDGE = 1 << 40
+BYTE = re.compile("<0x[0-9A-F]{2}>")
 #: Partitions of words per block: a word has many substrings, which are sorted in memory.
 SPREAD = 4
 
 #: A word begins at a run of signs; a line feed is a word of its own, as no piece holds one.
 WORD = re.compile(f"{SIGN}+[^{SIGN}\n]*|[^{SIGN}\n]+|\n")
+#: Words cut further where letters meet other characters, for models without pieces of both.
+#: Raised digits count as letters in patterns, but stand beside full stops in pieces.
+LETTER, OTHER = r"[^\W\d_¹²³]", rf"(?:[^\w{SIGN}\n]|[\d_¹²³])"
+LETTERS = re.compile(f"{SIGN}*{LETTER}+|{SIGN}*{OTHER}+|{SIGN}+|\n")
+MIXED = re.compile(f"{LETTER}{OTHER}|{OTHER}{LETTER}")
 
 
 def read_pieces(path: str = MODEL) -> dict[str, tuple[int, float]]:
@@ -60,13 +66,19 @@ def piece_table(spark: SparkSession, pieces: dict[str, tuple[int, float]]) -> Da
     best = max((score for _, score in pieces.values()), default=0.0)
     rows = [
         (piece, k, int(best - score)) for piece, (k, score) in pieces.items()
-        if not re.fullmatch("<0x[0-9A-F]{2}>", piece)
+        if not BYTE.fullmatch(piece)
     ]
     return spark.createDataFrame(rows, "piece string, id int, rank long")
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(SIGN + text.replace(" ", SIGN)) if text else []
+def word_pattern(pieces: dict[str, tuple[int, float]]) -> re.Pattern:
+    """How a model's texts are cut into words that no piece reaches across."""
+    ordinary = (p for p in pieces if not BYTE.fullmatch(p))
+    return WORD if any(MIXED.search(p) or "\n" in p[:-1] or "\n" in p[1:] for p in ordinary) else LETTERS
+
+
+def words_of(text: str | None, pattern: re.Pattern) -> list[str]:
+    return pattern.findall(SIGN + text.replace(" ", SIGN)) if text else []
 
 
 def _edge(edges: Column, start: Column, end: Column) -> Column:
@@ -225,23 +237,27 @@ def _long_words(pieces: dict[str, tuple[int, float]]):
     return run
 
 
-def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block_words(pattern: re.Pattern):
     """The distinct words of every block of a partition."""
-    seen: dict[int, set[str]] = {}
-    for batch in batches:
-        for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
-            seen.setdefault(block, set()).update(words_of(text.as_py()))
-    for block, words in seen.items():
-        told = sorted(words)
-        for k in range(0, len(told), 50_000):
-            part = told[k:k + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(part), pa.int32()), pa.array(part, pa.string())],
-                names=["block", "word"],
-            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, set[str]] = {}
+        for batch in batches:
+            for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
+                seen.setdefault(block, set()).update(words_of(text.as_py(), pattern))
+        for block, words in seen.items():
+            told = sorted(words)
+            for k in range(0, len(told), 50_000):
+                part = told[k:k + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * len(part), pa.int32()), pa.array(part, pa.string())],
+                    names=["block", "word"],
+                )
+
+    return run
 
 
-def _encoded(names: list[str], schema: pa.Schema):
+def _encoded(names: list[str], schema: pa.Schema, pattern: re.Pattern):
     """A block's rows with ids, looked up among the block's words."""
 
     def run(rows: pa.Table, words: pa.Table) -> pa.Table:
@@ -254,7 +270,7 @@ def _encoded(names: list[str], schema: pa.Schema):
         begins = np.concatenate([[0], np.cumsum(counts)])[:-1]
         parts, sizes = [], [0]
         for text in rows.column("text"):
-            at = np.array([place[word] for word in words_of(text.as_py())], dtype=np.int64)
+            at = np.array([place[word] for word in words_of(text.as_py(), pattern)], dtype=np.int64)
             many = counts[at]
             # Where each piece stands in the flat list: its word's start and its place in the word.
             ends = np.cumsum(many)
@@ -278,7 +294,7 @@ def encode(docs: DataFrame, model: str = MODEL, blocks: int | None = None) -> Da
     spark = docs.sparkSession
     blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pieces = read_pieces(model)
-    table = piece_table(spark, pieces)
+    table, pattern = piece_table(spark, pieces), word_pattern(pieces)
     longest = max(map(len, pieces), default=1)
     first_byte = pieces.get("<0x00>", (3, 0.0))[0]
     names = [c for c in docs.columns if c != "ids"]
@@ -287,7 +303,7 @@ def encode(docs: DataFrame, model: str = MODEL, blocks: int | None = None) -> Da
     dealt = docs.select(*names, block.alias("__block")).repartition("__block")
     words = (
         dealt.select(F.col("__block").alias("block"), "text")
-        .mapInArrow(_block_words, "block int, word string")
+        .mapInArrow(_block_words(pattern), "block int, word string")
         .repartition(SPREAD * blocks, "word")
         .groupBy("word").agg(F.collect_list("block").alias("blocks"))
     )
@@ -300,7 +316,7 @@ def encode(docs: DataFrame, model: str = MODEL, blocks: int | None = None) -> Da
     out = docs.select(*names).schema.add("ids", T.ArrayType(T.IntegerType()))
     return (
         dealt.groupBy("__block").cogroup(returned.groupBy("__block"))
-        .applyInArrow(_encoded(names, to_arrow_schema(out)), out)
+        .applyInArrow(_encoded(names, to_arrow_schema(out), pattern), out)
     )
 
 
