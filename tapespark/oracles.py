@@ -334,8 +334,7 @@ ORACLES: dict[str, str] = {
                     then 'ALERT' else 'CLEAR' end as status,
                max(sale_size) as largest, round(5 * avg(sale_size), 6) as threshold
         from ({BULK})""",
-    "daily_metrics_ordered": f"""
-        select *, cast(date_trunc('month', "date") as date) as month from ({DAILY}) order by "date", symbol""",
+    "daily_metrics_ordered": f'select * from ({DAILY}) order by "date", symbol',
     "encoded_messages": f"""
         select type, case when cast(trade_id as bigint) % 3 = 1 then date_trunc('second', "timestamp") + interval 5 hour
                           else date_trunc('second', "timestamp") end as "timestamp",

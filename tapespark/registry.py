@@ -168,9 +168,8 @@ def alert_status_clear(spark, sf_dir):
 
 @query
 def daily_metrics_ordered(spark, sf_dir):
-    """The metrics sorted for presentation, each row with its place."""
-    shown = metrics.ordered(metrics.daily_metrics(_trades(spark, sf_dir)), "date", "symbol")
-    return _rounded(shown.withColumn("month", F.trunc("date", "month")))
+    """The metrics sorted for presentation."""
+    return _rounded(metrics.ordered(metrics.daily_metrics(_trades(spark, sf_dir))))
 
 
 @query

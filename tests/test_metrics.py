@@ -158,3 +158,21 @@ def test_staging_takes_ts_and_date_where_given(spark):
     )
     row = staging.stg_tops(raw).first()
     assert (row.trade_date, row.is_trade) == (dt.date(2020, 2, 2), 0)
+
+
+def test_ordered_sorts_by_the_keys_there_are(spark):
+    table = spark.createDataFrame([(2, "b"), (1, "c"), (1, "a")], "date int, symbol string").repartition(3)
+    assert [tuple(r) for r in metrics.ordered(table).collect()] == [(1, "a"), (1, "c"), (2, "b")]
+    assert [r.symbol for r in metrics.ordered(table, "symbol").collect()] == ["a", "b", "c"]
+
+
+def test_facts_by_type_leave_out_what_is_not_known(spark):
+    """Trades (5, 10), (5, none), (none, 20) and a one-sided quote: 15 and no spread from it."""
+    rows = [("A", *quote, *trade) for quote, trade in [
+        ((0, 0.0, 0, 0.0), (5, 10.0)), ((0, 0.0, 0, 0.0), (5, 0.0)), ((0, 0.0, 0, 0.0), (0, 20.0)),
+        ((1, 9.0, 1, 11.0), (0, 0.0)), ((0, 0.0, 1, 11.0), (0, 0.0)),
+    ]]
+    names = "symbol string, bid_size long, bid_price double, ask_size long, ask_price double, last_sale_size long, last_sale_price double"
+    stg = spark.createDataFrame(rows, names).selectExpr("*", "date'2024-01-01' as trade_date", "int(last_sale_size > 0) as is_trade")
+    [got] = marts.fct_tops(stg, by_type=True).collect()
+    assert (got.avg_price, got.avg_spread, got.total_volume) == (15.0, 2.0, 10)

@@ -106,3 +106,24 @@ def test_conform_converts_and_fills(spark):
     assert tuple(conform(df, TRADE_SCHEMA).first()) == (None, None, "x", 7, None, None)
     bad = spark.createDataFrame([("x",)], "sale_size string")
     assert conform(bad, TRADE_SCHEMA).first().sale_size is None
+
+
+def test_damaged_bytes_and_offsets(spark):
+    """Bytes that are not text leave no symbol; times with an offset are brought to UTC."""
+    messages = spark.sql("""
+        select 'trade_report' as type, t as timestamp, unhex(s) as symbol, 1L as size,
+               cast(1.2500 as decimal(18, 4)) as price, i as trade_id
+        from values ('1', '2024-01-01T20:00:00-05:00', '41FF42'), ('2', '2024-01-01T20:00:00.25', '414243'),
+                    ('3', '2024-01-01 20:00:00Z', 'C3A9'), ('4', 'noon', null) as v(i, t, s)""")
+    for zone in ("UTC", "America/New_York"):
+        before = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = {r.trade_id: r for r in to_trades(messages).collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+        assert [got[k].symbol for k in "1234"] == [None, "ABC", "é", None]
+        assert [str(got[k].timestamp) for k in "123"] == [
+            "2024-01-02 01:00:00", "2024-01-01 20:00:00.250000", "2024-01-01 20:00:00"
+        ]
+        assert got["4"].timestamp is None and got["2"].sale_price == 1.25
