@@ -190,7 +190,11 @@ def _clean_paragraphs(batches):
 
 def learn(docs: DataFrame) -> Model:
     """A model whose ``none`` is learnt from at most SAMPLE of the corpus's paragraphs."""
-    picked = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE // 4)
+    # Ids are picked without their texts, which stay where they are.
+    ids = docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = docs.select("doc_id", "text").join(
+        F.broadcast(ids.limit(SAMPLE // 4)), "doc_id", "left_semi"
+    )
     rows = (
         picked.mapInArrow(_clean_paragraphs, "paragraph string").distinct()
         .orderBy(F.xxhash64("paragraph"), "paragraph").limit(SAMPLE).collect()
