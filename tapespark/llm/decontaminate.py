@@ -3,8 +3,10 @@
 A mask looks at some words of a window and ignores the others, so a window still has its
 seed's hash when an ignored word was substituted.  Seeds of documents meet seeds of benchmark
 items in an equi-join; around every place where they meet, document and item are laid side
-by side and the best stretch is found, in which a match counts 1 and a substitution -3.  An
-overlap is reported if it has MATCHED equal words, or most of a shorter item.
+by side.  An overlap is reported if some window of them has MATCHED equal words, or most of a
+shorter item, and no more than one word in five substituted.  Its place is the best stretch,
+in which a match counts 1 and a substitution -3, or where that has too few equal words, the
+window that has most.
 
 A fixed-size filter of the benchmark's seeds thins a document's seeds before the join; it
 only ever lets too much through.  Words are lower-cased and split at white space.  Nulls count as empty texts, items without words match nothing, items shorter than a
@@ -24,14 +26,16 @@ from pyspark.sql import functions as F
 from tapespark.llm.common import window_hashes, word_hashes
 from tapespark.session import scratch_path
 
-#: Fixed masks: offsets of the words that count, of windows of 8.
-MASKS = ((0, 1, 2, 4, 5, 7), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 7))
+#: Fixed masks: offsets of the words that count, of windows of 8 and of 6 words.
+MASKS = ((0, 1, 2, 4, 5, 7), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 7), (0, 1, 2, 3, 4, 5))
 SPAN = 8
-#: Equal words that make an overlap a leak, and the share of a shorter item that does.
+#: Equal words that make an overlap a leak, and the share of a shorter item that does.  The
+#: same share of a window's words must be equal.
 MATCHED = 12
 SHARE = 0.8
 SUBSTITUTION = -3
-#: Words kept on either side of a run of seeds for the comparison.
+#: Words kept on either side of a run of seeds for the comparison.  Of a window of 30 words that
+#: is a leak one half is a leak too, so those beside a seed lie within.
 MARGIN = 32
 #: Bits of the seed filter, as a power of two: 2 MB, whatever the benchmark's size.
 FILTER_BITS = 24
@@ -144,6 +148,35 @@ def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
     return start, end, int(same[start:end].sum())
 
 
+def widest_window(same: np.ndarray) -> tuple[int, int, int]:
+    """(start, end, equal words) of the window with most equal words, at least SHARE of its own."""
+    equal = np.concatenate([[0], np.cumsum(same)])
+    # In fifths: a window has the share if the total at its end is no less than at its start.
+    kept = round(SHARE * 5)
+    total = np.concatenate([[0], np.cumsum(np.where(same, 5 - kept, -kept))])
+    highest = np.maximum.accumulate(total[::-1])[::-1]
+    # The last end for each start: from there on every total is less.
+    ends = len(total) - 1 - np.searchsorted(highest[::-1], total, side="left")
+    matched = equal[ends] - equal
+    places = np.flatnonzero(same)
+    if not len(places):
+        return 0, 0, 0
+    # Without the substitutions at the edges, of windows with as many equal words the shortest.
+    first = places[np.minimum(equal[:-1], len(places) - 1)]
+    last = places[np.maximum(equal[ends] - 1, 0)][:-1] + 1
+    at = np.lexsort((last - first, -matched[:-1]))[0]
+    return int(first[at]), int(last[at]), int(matched[at])
+
+
+def overlap(same: np.ndarray, item_words: int) -> tuple[int, int, int] | None:
+    """(start, end, equal words) of a leak in a diagonal of equal and other words, if any."""
+    needed = min(MATCHED, int(np.ceil(SHARE * item_words)))
+    for found in (best_stretch(same), widest_window(same)):
+        if found[2] >= needed:
+            return found
+    return None
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -155,8 +188,9 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low, high = max(0, -shift), min(len(test), len(doc) - shift)
             if high <= low:
                 continue
-            a, b, matched = best_stretch(doc[low + shift:high + shift] == test[low:high])
-            if matched >= min(MATCHED, int(np.ceil(SHARE * len(test)))):
+            leak = overlap(doc[low + shift:high + shift] == test[low:high], len(test))
+            if leak:
+                a, b, matched = leak
                 first = start + shift + low
                 rows.append((doc_id, item_id, first + a, first + b, matched, b - a, len(test)))
         columns = list(zip(*rows)) if rows else [[]] * 7

@@ -60,6 +60,37 @@ def test_empty_tables(tables):
     assert decontaminate.find_leaks(docs, items.limit(0)).count() == 0
 
 
+def test_items_with_two_or_three_substitutions_are_leaks(spark):
+    short, longer, split = ([f"{name}{k}" for k in range(n)] for name, n in (("s", 15), ("l", 20), ("t", 26)))
+    items = spark.createDataFrame(
+        [(15, " ".join(short)), (20, " ".join(longer)), (26, " ".join(split))], "item_id long, text string"
+    )
+    cases = [(15, short, [a, b]) for a in range(15) for b in range(a)]
+    cases += [(20, longer, sorted(DRAW.sample(range(20), 3))) for _ in range(150)] + [(26, split, [11, 12, 13, 14])]
+    rows = [
+        (d, text(["other" if k in places else w for k, w in enumerate(words)]))
+        for d, (_, words, places) in enumerate(cases)
+    ]
+    # A quarter of the words substituted is too many.
+    rows.append((-1, text(["other" if k % 4 == 1 else w for k, w in enumerate(longer)])))
+    found = {r.doc_id: r for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert sorted(found) == list(range(len(cases)))
+    for d, (item, words, places) in enumerate(cases):
+        assert found[d].item_id == item and 12 <= found[d].matched <= len(words) - len(places)
+    assert (found[len(cases) - 1].matched, found[len(cases) - 1].compared) == (22, 26)
+
+
+def test_the_widest_window_is_that_of_a_plain_search():
+    for _ in range(500):
+        same = decontaminate.np.array([DRAW.random() < 0.75 for _ in range(DRAW.randint(1, 40))])
+        sums = [
+            (int(same[a:b].sum()), a - b) for a in range(len(same)) for b in range(a + 1, len(same) + 1)
+            if 5 * int(same[a:b].sum()) >= 4 * (b - a)
+        ]
+        a, b, matched = decontaminate.widest_window(same)
+        assert (matched, a - b) == max(sums, default=(0, 0)) and matched == same[a:b].sum()
+
+
 def test_query_finds_every_run_of_twelve_words(spark):
     path = "/root/testdata/sf0.01"
     runs = {}
