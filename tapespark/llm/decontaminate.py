@@ -39,8 +39,12 @@ SUBSTITUTION = -3
 MARGIN = 32
 #: Bits of the seed filter, as a power of two: 2 MB, whatever the benchmark's size.
 FILTER_BITS = 24
-#: Most benchmark seeds that are sent to every executor; more are joined by a shuffle.
+#: Most benchmark seeds, of 20 bytes each, and most bytes of items' words or of ids that are sent
+#: to every executor; more are joined by a shuffle.
 BROADCAST_SEEDS = 1_000_000
+BROADCAST_BYTES = 32 << 20
+#: About as many seeds or words go into one batch of rows.
+ROWS = 1 << 16
 
 
 def seeds(words: np.ndarray, short: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -58,22 +62,31 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
             words = word_hashes(batch.column("text")[k].as_py(), any_case=True)
-            if not len(words):
-                continue
-            parts = seeds(words, len(words) if len(words) < SPAN else 0)
-            hashes = np.concatenate([h for h, _ in parts]).view(np.int64)
-            n = len(hashes)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([batch.column("item_id")[k].as_py()] * n, pa.int64()),
-                    pa.array(hashes), pa.array(np.concatenate([p for _, p in parts]).astype(np.int32)),
-                    pa.array([words.tobytes()] * n, pa.binary()),
-                ],
-                names=["item_id", "seed", "item_at", "item"],
-            )
+            item_id = batch.column("item_id")[k].as_py()
+            for hashes, places in seeds(words, len(words) if len(words) < SPAN else 0) if len(words) else ():
+                for at in range(0, len(hashes), ROWS):
+                    part = hashes[at:at + ROWS].view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(part), item_id, dtype=np.int64)), pa.array(part),
+                            pa.array(places[at:at + ROWS].astype(np.int32)),
+                        ],
+                        names=["item_id", "seed", "item_at"],
+                    )
+
+
+ITEM_SEEDS = "item_id long, seed long, item_at int"
 
 
-ITEM_SEEDS = "item_id long, seed long, item_at int, item binary"
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            words = word_hashes(batch.column("text")[k].as_py(), any_case=True)
+            if len(words):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("item_id").slice(k, 1), pa.array([words.tobytes()], pa.binary())],
+                    names=["item_id", "item"],
+                )
 
 
 def _filter_of(seeds_of_items: DataFrame) -> np.ndarray:
@@ -90,11 +103,12 @@ def _filter_of(seeds_of_items: DataFrame) -> np.ndarray:
     return words.view(np.uint64)
 
 
-REGIONS = "doc_id long, start int, words binary, seeds array<long>, places array<int>"
+HITS = "doc_id long, start int, size int, seed long, place int"
+REGIONS = "doc_id long, start int, size int, words binary"
 
 
-def _regions(bits: np.ndarray, shorts: list[int]):
-    """Runs of a document's seeds that pass the filter, with the words around them."""
+def _regions(bits: np.ndarray, shorts: list[int], with_words: bool):
+    """Runs of a document's seeds that pass the filter: a row per seed, or per run its words."""
 
     def passing(words):
         for short in (0, *shorts):
@@ -105,35 +119,60 @@ def _regions(bits: np.ndarray, shorts: list[int]):
                 if len(at):
                     yield hashes[at].view(np.int64), places[at]
 
+    def runs(doc_id, words):
+        """(doc_id, start, size, seeds, places) of each run, and the words around it."""
+        found = list(passing(words))
+        if not found:
+            return
+        hashes = np.concatenate([h for h, _ in found])
+        places = np.concatenate([p for _, p in found])
+        order = np.argsort(places, kind="stable")
+        hashes, places = hashes[order], places[order]
+        cuts = np.flatnonzero(np.diff(places) > SPAN) + 1
+        for one_hashes, one_places in zip(np.split(hashes, cuts), np.split(places, cuts)):
+            start = max(0, int(one_places[0]) - MARGIN)
+            end = min(len(words), int(one_places[-1]) + SPAN + MARGIN)
+            yield doc_id, start, end - start, one_hashes, one_places - start
+
     def run(batches):
         for batch in batches:
-            rows = []
+            rows, told = [], 0
             for k in range(batch.num_rows):
                 doc_id = batch.column("doc_id")[k].as_py()
                 if doc_id is None:
                     continue
                 words = word_hashes(batch.column("text")[k].as_py(), any_case=True)
-                found = list(passing(words))
-                if not found:
-                    continue
-                hashes = np.concatenate([h for h, _ in found])
-                places = np.concatenate([p for _, p in found])
-                order = np.argsort(places, kind="stable")
-                hashes, places = hashes[order], places[order]
-                cuts = np.flatnonzero(np.diff(places) > SPAN) + 1
-                for one_hashes, one_places in zip(np.split(hashes, cuts), np.split(places, cuts)):
-                    start = max(0, int(one_places[0]) - MARGIN)
-                    end = int(one_places[-1]) + SPAN + MARGIN
-                    rows.append((
-                        doc_id, start, words[start:end].tobytes(), one_hashes, (one_places - start),
-                    ))
+                for row in runs(doc_id, words):
+                    if with_words:
+                        rows.append((*row[:3], words[row[1]:row[1] + row[2]].tobytes()))
+                        told += row[2]
+                    else:
+                        rows.append(row)
+                        told += len(row[3])
+                    if told >= ROWS:
+                        yield batch_of(rows)
+                        rows, told = [], 0
             if rows:
-                columns = list(zip(*rows))
-                kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds)],
-                    names=["doc_id", "start", "words", "seeds", "places"],
-                )
+                yield batch_of(rows)
+
+    def batch_of(rows):
+        columns = list(zip(*rows))
+        if with_words:
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "start", "size", "words"]
+            )
+        times = [len(hashes) for hashes in columns[3]]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(np.array(columns[0], dtype=np.int64), times)),
+                pa.array(np.repeat(np.array(columns[1], dtype=np.int32), times)),
+                pa.array(np.repeat(np.array(columns[2], dtype=np.int32), times)),
+                pa.array(np.concatenate(columns[3])),
+                pa.array(np.concatenate(columns[4]).astype(np.int32)),
+            ],
+            names=["doc_id", "start", "size", "seed", "place"],
+        )
 
     return run
 
@@ -180,19 +219,27 @@ def overlap(same: np.ndarray, item_words: int) -> tuple[int, int, int] | None:
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for doc_id, start, item_id, shift, words, item in zip(
-            *(batch.column(n).to_pylist() for n in ("doc_id", "start", "item_id", "shift", "words", "item"))
-        ):
+        for k in range(batch.num_rows):
+            doc_id, start, item_id, shifts, words, item_from, item, item_words = (
+                batch.column(n)[k].as_py()
+                for n in ("doc_id", "start", "item_id", "shifts", "words", "item_from", "item", "item_words")
+            )
             doc, test = np.frombuffer(words, np.uint64), np.frombuffer(item, np.uint64)
-            # Item word i lies beside document word i + shift.
-            low, high = max(0, -shift), min(len(test), len(doc) - shift)
-            if high <= low:
-                continue
-            leak = overlap(doc[low + shift:high + shift] == test[low:high], len(test))
-            if leak:
-                a, b, matched = leak
-                first = start + shift + low
-                rows.append((doc_id, item_id, first + a, first + b, matched, b - a, len(test)))
+            best = None
+            for shift in shifts:
+                # Item word i lies beside document word i + shift; of the item a part is here.
+                low, high = max(0, -shift), min(item_words, len(doc) - shift)
+                if high <= low:
+                    continue
+                leak = overlap(doc[low + shift:high + shift] == test[low - item_from:high - item_from], item_words)
+                if leak:
+                    a, b, matched = leak
+                    first = start + shift + low
+                    # As below: most equal words, then the shortest, then the first.
+                    best = max(best or (-1,), (matched, a - b, -first - a, first + b))
+            if best:
+                matched, size, first, end = best
+                rows.append((doc_id, item_id, -first, end, matched, -size, item_words))
         columns = list(zip(*rows)) if rows else [[]] * 7
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays(
@@ -212,25 +259,44 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     doc_id, item_id, first_word, end_word (exclusive), matched, compared, item_words.
     """
-    tested = items.where("item_id is not null").select("item_id", "text").mapInArrow(
-        _item_seeds, ITEM_SEEDS
-    ).distinct()
+    spark = docs.sparkSession
+    named = items.where("item_id is not null").select("item_id", "text")
+    tested = named.mapInArrow(_item_seeds, ITEM_SEEDS).distinct()
+    item_words = named.mapInArrow(_item_words, "item_id long, item binary").distinct()
     bits = _filter_of(tested)
-    told = tested.agg(
-        F.count("*").alias("seeds"),
+    count = tested.count()
+    told = item_words.agg(
+        F.sum(F.length("item") + 16).alias("bytes"),
         F.collect_set(F.when(F.length("item") < 8 * SPAN, F.length("item") / 8)).alias("shorts"),
     ).first()
     shorts = sorted(int(x) for x in told["shorts"])
-    if told["seeds"] <= BROADCAST_SEEDS:
+    if count <= BROADCAST_SEEDS:
         tested = F.broadcast(tested)
-    regions = docs.select("doc_id", "text").mapInArrow(_regions(bits, shorts), REGIONS)
-    hits = regions.select(
-        "doc_id", "start", "words", F.explode(F.arrays_zip("seeds", "places")).alias("hit")
-    ).select("doc_id", "start", "words", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("place"))
-    met = hits.join(tested, "seed").groupBy(
-        "doc_id", "start", "item_id", (F.col("place") - F.col("item_at")).alias("shift")
-    ).agg(F.first("words").alias("words"), F.first("item").alias("item"))
-    found = met.mapInArrow(_verified, LEAKS)
+    if (told["bytes"] or 0) <= BROADCAST_BYTES:
+        item_words = F.broadcast(item_words)
+    texts = docs.select("doc_id", "text")
+    # Where seeds meet is found by places alone; words are laid beside each other only there.
+    kept = scratch_path(spark, "met")
+    texts.mapInArrow(_regions(bits, shorts, False), HITS).join(tested, "seed").select(
+        "doc_id", "start", "size", "item_id", (F.col("place") - F.col("item_at")).alias("shift")
+    ).distinct().groupBy("doc_id", "start", "size", "item_id").agg(
+        F.collect_list("shift").alias("shifts")
+    ).write.parquet(kept)
+    met = spark.read.schema("doc_id long, start int, size int, item_id long, shifts array<int>").parquet(kept)
+    ids = met.select("doc_id").distinct()
+    if 8 * ids.count() <= BROADCAST_BYTES:
+        ids = F.broadcast(ids)
+    regions = texts.join(ids, "doc_id", "left_semi").mapInArrow(_regions(bits, shorts, True), REGIONS)
+    # Only the part of an item that one of the shifts lays beside the region.
+    beside = met.withColumns({
+        "item_from": F.greatest(F.lit(0), -F.array_max("shifts")),
+        "item_to": F.col("size") - F.array_min("shifts"),
+    }).join(item_words, "item_id").select(
+        "doc_id", "start", "size", "item_id", "shifts", "item_from",
+        (F.length("item") / 8).cast("int").alias("item_words"),
+        F.substring("item", 8 * F.col("item_from") + 1, 8 * (F.col("item_to") - F.col("item_from"))).alias("item"),
+    )
+    found = beside.join(regions, ["doc_id", "start", "size"]).mapInArrow(_verified, LEAKS)
     return found.groupBy("doc_id", "item_id").agg(
         F.max(F.struct("matched", -F.col("compared"), -F.col("first_word"), "first_word", "end_word", "compared", "item_words")).alias("best")
     ).select(

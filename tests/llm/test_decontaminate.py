@@ -80,6 +80,20 @@ def test_items_with_two_or_three_substitutions_are_leaks(spark):
     assert (found[len(cases) - 1].matched, found[len(cases) - 1].compared) == (22, 26)
 
 
+def test_a_seed_does_not_carry_its_item(spark, monkeypatch):
+    long = [f"long{k}" for k in range(20_000)]
+    items = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(long[::2]))], "item_id long, text string")
+    batches = [decontaminate.pa.RecordBatch.from_pydict({"item_id": [1], "text": [" ".join(long)]})]
+    assert sum(batch.nbytes for batch in decontaminate._item_seeds(iter(batches))) < 100 * len(long)
+    rows = [(1, text(long[700:730])), (2, " ".join(long)), (3, " ".join(long[1:4000:2])), (4, text(long[::2][50:90]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(1, 1, 30, 60, 30), (2, 1, 0, 20_000, 20_000), (4, 2, 30, 70, 40)]
+    for most in (decontaminate.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", most)
+        found = decontaminate.find_leaks(docs, items).collect()
+        assert sorted((r.doc_id, r.item_id, r.first_word, r.end_word, r.matched) for r in found) == want
+
+
 def test_the_widest_window_is_that_of_a_plain_search():
     for _ in range(500):
         same = decontaminate.np.array([DRAW.random() < 0.75 for _ in range(DRAW.randint(1, 40))])
