@@ -35,6 +35,25 @@ class Kind:
     base: bool = True
 
 
+#: Characters of an account number, by country.
+ACCOUNT_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC",
+    33: "RU",
+}
+#: A number of its country's length, and one of another length or country: the longest run of
+#: words, which stops before a listed one and may hold words that follow the number.
+LISTED = "(?:" + "|".join(
+    f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\\x20?+[A-Z0-9]){{{n - 4}}}"
+    for n, countries in ACCOUNT_LENGTHS.items()
+) + ")(?![A-Za-z0-9])"
+COUNTRIES = "|".join(" ".join(ACCOUNT_LENGTHS.values()).split())
+UNLISTED = (
+    rf"[A-Z]{{2}}[0-9]{{2}}(?:(?:\x20(?!{LISTED}))?[A-Z0-9]){{11,30}}(?![A-Za-z0-9])"
+)
+
 #: The patterns' meaning is given, order is the order of kinds.
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -45,7 +64,7 @@ KINDS = (
          "", 0.8, "card|visa|mastercard|credit|payment|karte|carte|tarjeta"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]",
          "+", 0.7, "phone|call|tel|mobile|fax|telefon|téléphone|teléfono"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{LISTED}|{UNLISTED})",
          "", 0.9, "iban|account|bank|konto|compte|cuenta", base=False),
 )
 RANK = {kind.name: at for at, kind in enumerate(KINDS)}
@@ -84,6 +103,20 @@ def mod97(text: Column) -> Column:
     return left == 1
 
 
+def account(text: Column) -> Column:
+    """Length of the account number a match starts with, null if none of its ends fits."""
+    ends = F.sequence(F.lit(15), F.greatest(F.length(text), F.lit(15)))
+
+    def fits(end):
+        number = F.substring(text, F.lit(1), end)
+        long_enough = F.length(F.regexp_replace(number, "\x20", "")) >= 15
+        cut = F.substring(text, end + 1, F.lit(1)).rlike("[A-Z0-9]") | number.endswith(" ")
+        listed = text.rlike(f"^(?:{COUNTRIES})")
+        return (end == F.length(text)) & mod97(text) | ~listed & long_enough & ~cut & mod97(number)
+
+    return F.array_max(F.filter(ends, fits))
+
+
 def confirmed(kind: str, text: Column) -> Column:
     """Whether a proposed span is one of its kind."""
     if kind == "ip":
@@ -94,10 +127,15 @@ def confirmed(kind: str, text: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(text)).between(10, 15)
     if kind == "iban":
-        return mod97(text)
+        return account(text).isNotNull()
     return F.lit(True)
 
 
+def _extent(kind: str, match: Column) -> Column:
+    """Length of the span that a confirmed match stands for."""
+    return account(match) if kind == "iban" else F.length(match)
+
+
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
@@ -119,7 +157,7 @@ def _spans(kind: Kind, pieces: Column, matches: Column, blocks: Column, lengths:
             start.alias("start"),
             F.lit(RANK[kind.name]).alias("rank"),
             F.lit(kind.name).alias("kind"),
-            (start + F.length(match)).alias("end"),
+            (start + _extent(kind.name, match)).alias("end"),
             F.when(told, F.lit(min(1.0, kind.prior + 0.1))).otherwise(F.lit(kind.prior)).alias("score"),
             confirmed(kind.name, match).alias("kept"),
         )
@@ -221,10 +259,16 @@ def redact(docs: DataFrame) -> DataFrame:
 
 def _replaced(kind: Kind, pieces: Column, matches: Column) -> Column:
     mark = F.lit(f"[{kind.name.upper()}]")
+
+    def shown(match):
+        if kind.name != "iban":
+            return mark
+        return F.concat(mark, F.substring(match, _extent(kind.name, match) + 1, F.length(match)))
+
     return F.zip_with(
         pieces, matches,
         # The last piece has no match after it.
         lambda p, m: F.concat(
-            p, F.when(m.isNull(), F.lit("")).when(confirmed(kind.name, m), mark).otherwise(m)
+            p, F.when(m.isNull(), F.lit("")).when(confirmed(kind.name, m), shown(m)).otherwise(m)
         ),
     )

@@ -71,6 +71,25 @@ def test_account_numbers_need_their_checksum_and_words_raise_scores(docs):
     assert rows[2].top_score is None
 
 
+def test_account_numbers_end_where_their_country_says(spark):
+    german, british, unlisted = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "ZZ65 0000 1234 5678 9012"
+    assert int("".join(str(int(c, 36)) for c in (unlisted[4:] + unlisted[:4]).replace(" ", ""))) % 97 == 1
+    cases = [
+        ("IBAN {} Please pay", [german]), ("{} AND x", [german.replace(" ", "")]), ("{} 5 EUR", [german]),
+        ("{} {} BY 1 MAY", [german, british]), ("{} OR {}", [british, german]), ("REF AB12 {} NOW", [british]),
+        ("{} AND MORE", [unlisted]), ("{} Please", [unlisted]), ("{}.", [unlisted]), ("é {} {} X", [unlisted, german]),
+        ("DE89 3704 0044 0532 0130 01 AND", []), ("DE89370400440532013000X", []),
+    ]
+    docs = spark.createDataFrame([(k, t.format(*n)) for k, (t, n) in enumerate(cases)], "doc_id long, text string")
+    for row in pii.report(docs).collect():
+        told, numbers = cases[row.doc_id]
+        spans = [s.split(":") for s in row.spans.split(",") if s.startswith("iban")]
+        assert [told.format(*numbers)[int(a):int(b)] for _, a, b in spans] == numbers, row
+    for row in pii.redact(docs).collect():
+        told, numbers = cases[row.doc_id]
+        assert row.text == told.format(*["[IBAN]"] * len(numbers))
+
+
 def test_redaction_leaves_nothing_and_keeps_columns(docs):
     rows = pii.redact(docs).collect()
     assert len(rows) == docs.count() and rows[0].asDict().keys() == {"doc_id", "text", "kind"}
