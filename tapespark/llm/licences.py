@@ -8,8 +8,9 @@ whose best family has too little probability is ``unknown`` if it speaks of a li
 bound is calibrated on held-back paragraphs.  A prediction stands if the paragraph shares
 enough of its words with a template of the family.
 
-Only paragraphs with a word of some template's cue list are scored, as no other can be
-confirmed.  Nulls count as empty texts, without notices.  Repeated rows are scanned alike; an
+Scored are the sentences that hold a cue, and those that hold so many words of a template that
+they can be confirmed (``HINTS`` follow from the templates and leave none of these out).  A
+notice wrapped over lines up to a blank one is judged on the lines together.  Nulls count as empty texts, without notices.  Repeated rows are scanned alike; an
 empty table gives an empty result, and without a corpus the templates alone are learnt from.
 """
 
@@ -153,6 +154,8 @@ def fit(clean: list[str], steps: int = 300, rate: float = 4.0, ridge: float = 1e
         speed = 0.9 * speed + ((target - p) * weigh[:, None]).T @ x - ridge * w
         w += rate * speed
     model = Model(families, w, 0.5)
+    # Paragraphs like those that are scored, if there are any.
+    back = [p for p in back if hinted(p)] or back
     mistaken = [float(model.probabilities(p)[:-1].max()) for p in back]
     bound = float(np.quantile(mistaken, 1 - MISTAKEN)) if mistaken else 0.0
     return Model(families, w, min(max(0.5, bound), 0.95))
@@ -167,8 +170,39 @@ def resemblance(paragraph: str, family: str) -> float:
     return max(len(words & t) / len(t) for t in _WORDS[family])
 
 
+def _hints() -> tuple[str, ...]:
+    """Words of which a text holds one if it has CONFIRM of any template's words."""
+    common = set(
+        "a all and any be by can can except file free from general has in is it may no not of or part person public"
+        " source the this to under use used with without work you".split()
+    )
+    hints = set()
+    for templates in _WORDS.values():
+        for t in templates:
+            least = next(m for m in range(1, len(t) + 1) if m / len(t) >= CONFIRM)
+            hints |= set(sorted(t, key=lambda w: (w in common, -len(w), w))[:len(t) - least + 1])
+    # A word that contains another hint adds nothing.
+    return tuple(sorted(w for w in hints if not any(v != w and v in w for v in hints)))
+
+
+HINTS = _hints()
+#: Words of the longest run of lines that is judged as one notice.
+WRAPPED = 2 * max(len(t) for templates in _WORDS.values() for t in templates)
+
+
+def hinted(text: str) -> bool:
+    low = text.lower()
+    return any(w in low for w in HINTS)
+
+
+def resembling(paragraph: str) -> bool:
+    """Whether the paragraph can be confirmed as one of the families."""
+    words = set(words_of(paragraph))
+    return any(len(words & t) / len(t) >= CONFIRM for templates in _WORDS.values() for t in templates)
+
+
 def classify(paragraph: str, model: Model) -> tuple[str, float, float]:
-    """(family, probability, resemblance) of a paragraph that holds a cue."""
+    """(family, probability, resemblance) of a paragraph that holds a cue or resembles a template."""
     p = model.probabilities(paragraph)
     best = int(p[:-1].argmax())
     family, likely = model.families[best], float(p[best])
@@ -184,7 +218,7 @@ def _clean_paragraphs(batches):
     for batch in batches:
         told = []
         for text in batch.column("text"):
-            told.extend(p for p in (text.as_py() or "").split("\n") if p.strip() and not CUE.search(p))
+            told.extend(p for p in (text.as_py() or "").split("\n") if p.strip() and not CUE.search(p) and not (hinted(p) and resembling(p)))
         yield pa.RecordBatch.from_arrays([pa.array(told, pa.string())], names=["paragraph"])
 
 
@@ -205,28 +239,82 @@ def learn(docs: DataFrame) -> Model:
 FOUND = "doc_id long, notices array<struct<start:long,end:long,family:string,probability:double,resemblance:double>>"
 
 
+SENTENCE = re.compile(r"(?<=[.!?])(?=\s+[A-Z])")
+
+
+def _judged(sentence: str, model: Model, seen: dict, cues: bool) -> tuple[str, float, float]:
+    """What a sentence is; without a cue it is none unless it is confirmed.  ``cues``: its text holds some."""
+    kind = seen.get(sentence)
+    if kind is None:
+        cue = cues and CUE.search(sentence)
+        kind = (NONE, 1.0, 0.0)
+        if cue or hinted(sentence) and resembling(sentence):
+            kind = classify(sentence, model)
+            if kind[0] == UNKNOWN and not cue:
+                kind = (NONE, 1.0, 0.0)
+        if len(seen) < 50_000:
+            seen[sentence] = kind
+    return kind
+
+
+def _wrapped(sentence: str, start: int, model: Model, seen: dict, cues: bool) -> list[tuple]:
+    """Confirmed notices over two or more lines of a sentence, the most alike first, none overlapping."""
+    lines, at = [], start
+    for line in sentence.split("\n"):
+        if line.strip():
+            skip = len(line) - len(line.lstrip())
+            lines.append((at + skip, at + len(line.rstrip()), max(1, len(words_of(line)))))
+        at += len(line) + 1
+    found = []
+    for i in range(len(lines)):
+        words = lines[i][2]
+        for j in range(i + 1, len(lines)):
+            words += lines[j][2]
+            # Two lines are always tried, however long.
+            if words > WRAPPED and j > i + 1:
+                break
+            begin, end = lines[i][0], lines[j][1]
+            kind = _judged(sentence[begin - start:end - start], model, seen, cues)
+            if kind[0] not in (NONE, UNKNOWN):
+                found.append((begin, end, *kind))
+    kept: list[tuple] = []
+    for n in sorted(found, key=lambda n: (-n[4], n[1] - n[0], n[0])):
+        if all(n[1] <= k[0] or k[1] <= n[0] for k in kept):
+            kept.append(n)
+    return kept
+
+
 def notices_in(text: str | None, model: Model, seen: dict) -> list[tuple]:
     """(start, end, family, probability, resemblance) per notice, in code points."""
+    cues = bool(text and CUE.search(text))
+    if not text or not (cues or hinted(text)):
+        return []
     found, start = [], 0
-    if not text or not CUE.search(text):
-        return found
     for paragraph in text.split("\n"):
-        if CUE.search(paragraph):
-            # The sentence around a cue is judged, so a notice inside a longer line counts.
+        if hinted(paragraph) or cues and CUE.search(paragraph):
+            # The sentence is judged, so a notice inside a longer line counts.
             at = 0
-            for sentence in re.split(r"(?<=[.!?])(?=\s+[A-Z])", paragraph):
-                if CUE.search(sentence):
-                    kind = seen.get(sentence)
-                    if kind is None:
-                        kind = classify(sentence, model)
-                        if len(seen) < 50_000:
-                            seen[sentence] = kind
-                    if kind[0] != NONE:
-                        skip = len(sentence) - len(sentence.lstrip())
-                        found.append((start + at + skip, start + at + len(sentence.rstrip()), *kind))
+            for sentence in SENTENCE.split(paragraph):
+                kind = _judged(sentence, model, seen, cues)
+                if kind[0] != NONE:
+                    skip = len(sentence) - len(sentence.lstrip())
+                    found.append((start + at + skip, start + at + len(sentence.rstrip()), *kind))
                 at += len(sentence)
         start += len(paragraph) + 1
-    return found
+    # Sentences that go on over a line's end, up to a blank line.
+    start = 0
+    for block in re.split(r"(\n[^\S\n]*(?=\n))", text):
+        if "\n" in block.strip() and hinted(block):
+            at = start
+            for sentence in SENTENCE.split(block):
+                if "\n" in sentence.strip() and hinted(sentence) and resembling(sentence):
+                    for n in _wrapped(sentence, at, model, seen, cues):
+                        beside = [f for f in found if f[0] < n[1] and n[0] < f[1]]
+                        if all(f[2] == UNKNOWN for f in beside):
+                            found = [f for f in found if f not in beside] + [n]
+                at += len(sentence)
+        start += len(block)
+    return sorted(found)
 
 
 def _found(model: Model):

@@ -35,3 +35,26 @@ def test_families_unknown_and_none(spark):
             assert r.licences in ("", "unknown")
     assert next(r for r in got if r.doc_id == 2).spans == f"apache:16:{16 + len(notice)}"
     assert licences.report(docs.limit(0)).count() == 0
+
+
+def test_notices_without_cue_and_over_two_lines(spark):
+    rows = [
+        (1, "Released under Apache 2.0.", "apache"), (2, "Released under the BSD 3-Clause.", "bsd"),
+        (3, "Permission is granted, free of charge, to any person obtaining a copy of this software", "mit"),
+        (4, "é words\nLicensed under the Apache\nLicense, Version 2.0.\n\nmore words", "apache"),
+        (5, "plain words\nover two lines.\n\nand more", ""), (6, "Licensed under the Apache\n\nLicense, Version 2.0.", "unknown"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, want string")
+    got = {r.doc_id: r for r in licences.report(docs).collect()}
+    assert {d: r.licences for d, r in got.items()} == {d: w for d, _, w in rows}
+    assert got[4].spans == "apache:8:55"
+
+
+def test_hints_leave_out_nothing_that_can_be_confirmed():
+    draw = licences.np.random.default_rng(3)
+    for templates in licences.TEMPLATES.values():
+        for t in templates:
+            words = sorted(set(licences.words_of(t)))
+            least = next(m for m in range(1, len(words) + 1) if m / len(words) >= licences.CONFIRM)
+            for _ in range(50):
+                assert licences.hinted(" ".join(draw.choice(words, least, replace=False)))
