@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapespark.llm import decontaminate, fingerprints, html, jaccard, licences, pieces, pii, quality, toxicity, urls
+from tapespark.llm import decontaminate, fingerprints, html, jaccard, licences, packing, pieces, pii, quality, toxicity, urls
 from tapespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,5 +81,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document and the sequences they are packed into."""
+    return packing.report(table(spark, sf_dir, "documents"))
+
+
 #: SQL counterparts, for the queries that SQL can express.
 ORACLES: dict[str, str] = {"op7_urls": urls.ORACLE}
