@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapespark.llm import decontaminate, fingerprints, html, jaccard, licences, packing, pieces, pii, quality, toxicity, urls
+from tapespark.llm import (
+    decontaminate, fingerprints, html, jaccard, licences, packing, pieces, pii, quality, repair, toxicity, urls,
+)
 from tapespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,5 +89,11 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation after planted damage."""
+    return repair.report(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 #: SQL counterparts, for the queries that SQL can express.
 ORACLES: dict[str, str] = {"op7_urls": urls.ORACLE}
