@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapespark.llm import (
     decontaminate, fingerprints, html, jaccard, licences, packing, pieces, pii, quality, repair, toxicity, urls,
+    vectors,
 )
 from tapespark.llm.common import table
 
@@ -95,5 +96,11 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(repair.damage(table(spark, sf_dir, "conversations")))
 
 
+@query
+def op13_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every vector and what it loses."""
+    return vectors.report(table(spark, sf_dir, "embeddings"))
+
+
 #: SQL counterparts, for the queries that SQL can express.
 ORACLES: dict[str, str] = {"op7_urls": urls.ORACLE}
