@@ -21,8 +21,10 @@ other than doc_id and text are not looked at, whatever their names.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +43,14 @@ FOURTH, FINE = 4, 4
 END, PAD = 0, 0
 #: Characters tokenized at a time.
 STRETCH = 1 << 20
+#: No word of the tokenizer reaches from another character to white space behind it.
 BREAK = re.compile(r"(?<=\S)(?=\s)")
+#: White space here but not to the tokenizer; texts with these are not cut.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+#: Fixed value: how byte-level tokenizers of this kind cut texts into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters of white space in a row that are too many for the fast way.
+RUN = 1000
 
 PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -64,12 +73,62 @@ def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
     yield text[at:]
 
 
-def token_ids(tokenizer, text: str | None) -> np.ndarray:
-    parts = [
-        np.array(tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4")
-        for part in stretches(text or "")
-    ]
-    return np.concatenate([*parts, np.array([END], dtype="<u4")])
+def byte_ranks(given: str) -> dict[bytes, int] | None:
+    """The ids of a tokenizer's byte strings, if merging by id is all that it does; else None.
+
+    Such a file is a byte-level BPE whose k-th merge makes id 256 + k; others give None.
+    """
+    told = json.loads(given)
+    model, before = told["model"], told["pre_tokenizer"] or {}
+    if told["normalizer"] or model["type"] != "BPE" or before.get("type") != "ByteLevel":
+        return None
+    if before["add_prefix_space"] or not before["use_regex"] or model["dropout"] or model["ignore_merges"]:
+        return None
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    vocabulary = model["vocab"]
+    if any(vocabulary.get(a + b) != 256 + k for k, (a, b) in enumerate(pairs)):
+        return None
+    # Bytes that are no visible characters stand for themselves 256 and more places further on.
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    byte = {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
+    added = {token["content"] for token in told["added_tokens"]}
+    return {bytes(byte[c] for c in token): k for token, k in vocabulary.items() if token not in added}
+
+
+class Ids:
+    """The tokenizer's ids of texts.
+
+    Where the file is a plain byte-level BPE, texts are merged by ``tiktoken`` with the file's own
+    ids as ranks, which gives the same ids in a quarter of the time.  Texts that hold a
+    special token or a very long run of white space go through the tokenizer itself.
+    """
+
+    def __init__(self, given: str, ranks: dict[bytes, int] | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(given)
+        self.merge = None
+        if ranks is not None:
+            import tiktoken
+
+            made = tiktoken.Encoding("given", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+            self.merge = made.encode_ordinary
+            special = [re.escape(t["content"]) for t in json.loads(given)["added_tokens"]]
+            self.odd = re.compile("|".join([*special, r"\s{%d,}" % RUN]))
+
+    def of(self, text: str | None) -> np.ndarray:
+        parts = [] if SEPARATORS.search(text or "") else stretches(text or "")
+        parts = list(parts) or [text or ""]
+        ids = array("I")
+        for part in parts:
+            if self.merge and not self.odd.search(part):
+                ids.extend(self.merge(part))
+            else:
+                ids.extend(self.tokenizer.encode(part, add_special_tokens=False).ids)
+        ids.append(END)
+        return np.frombuffer(ids, dtype=np.uint32).astype("<u4", copy=False)
 
 
 def differenced(sizes: list[int], windows: int) -> tuple[list[int], int]:
@@ -132,12 +191,9 @@ def halves(size: int) -> Iterator[int]:
         size -= FINE
 
 
-def _packed(given: str, capacity: int):
+def _packed(given: str, ranks: dict[bytes, int] | None, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(given)
+        tokenizer = Ids(given, ranks)
         sequence = TaskContext.get().partitionId() << 40
         room = WINDOWS * (capacity - SLACK) if capacity > SLACK else WINDOWS * capacity
         group: list[tuple] = []
@@ -165,7 +221,7 @@ def _packed(given: str, capacity: int):
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = token_ids(tokenizer, text.as_py())
+                ids = tokenizer.of(text.as_py())
                 whole = len(ids) - len(ids) % capacity
                 for start in range(0, whole, capacity):
                     rows.append((doc_id, start, ids[start:start + capacity].tobytes(), len(ids), sequence, 0))
@@ -200,7 +256,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
     """
     with open(path or tokenizer_file(), encoding="utf-8") as file:
         given = file.read()
-    return docs.select("doc_id", "text").mapInArrow(_packed(given, capacity), PIECES)
+    return docs.select("doc_id", "text").mapInArrow(_packed(given, byte_ranks(given), capacity), PIECES)
 
 
 def padded(length: int, capacity: int = CAPACITY) -> int:

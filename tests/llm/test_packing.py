@@ -1,14 +1,20 @@
+import json
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tapespark.llm import packing, queries
 
 PATH = "/root/testdata/sf0.01"
+with open(packing.tokenizer_file(), encoding="utf-8") as file:
+    GIVEN = file.read()
+IDS, SLOW = packing.Ids(GIVEN, packing.byte_ranks(GIVEN)), packing.Ids(GIVEN, None)
 
 
 @pytest.fixture(scope="module")
@@ -78,6 +84,31 @@ def test_long_texts_are_cut_where_no_word_reaches(tokenizer):
     assert sum((tokenizer.encode(p, add_special_tokens=False).ids for p in parts), []) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.sampled_from(["word", " ", "  ", "\n", "'s", "12", ".", "\xa0", "é", "\t", "\x1c", "\x85", "\u3000", "<|endoftext|>", "!"]), max_size=30))
+@settings(max_examples=300, deadline=None)
+def test_ids_by_chunks_are_the_tokenizers(parts):
+    text = "".join(parts)
+    assert IDS.of(text).tolist() == [*IDS.tokenizer.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_ids_of_odd_texts(monkeypatch, tokenizer):
+    texts = [None, "", " " * 3000, "a" + " " * 1500 + "b", "x<|endoftext|> y", "\x1c a", "word " * 400, "é" * 5000, "\n\n\t a\u3000 b"]
+    for stretch in (1 << 20, 40, 1):
+        monkeypatch.setattr(packing, "STRETCH", stretch)
+        assert [IDS.of(t).tolist() for t in texts] == [plain_ids(tokenizer, t) for t in texts]
+        assert [SLOW.of(t).tolist() for t in texts] == [plain_ids(tokenizer, t) for t in texts]
+
+
+def test_only_plain_merging_files_are_merged_by_rank():
+    told = json.loads(GIVEN)
+    assert len(packing.byte_ranks(GIVEN)) == 50_256
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}):
+        assert packing.byte_ranks(json.dumps({**told, **change})) is None
+    merges = told["model"]["merges"]
+    swapped = {**told["model"], "merges": [merges[1], merges[0], *merges[2:]]}
+    assert packing.byte_ranks(json.dumps({**told, "model": swapped})) is None
+
+
 def test_windows_are_near_equal_and_within_capacity():
     draw = random.Random(3)
     for _ in range(30):
