@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tapespark.operators.marts import fct_tops, fct_trades
 from tapespark.operators.staging import stg_tops, stg_trades
 
 
+def models(tops: DataFrame, trades: DataFrame) -> dict[str, DataFrame]:
+    """The tables ``stg_tops``, ``stg_trades``, ``fct_tops`` and ``fct_trades`` over two given ones.
+
+    They are plans, not copies, and have no name in the session.
+    """
+    staged = {"stg_tops": stg_tops(tops), "stg_trades": stg_trades(trades)}
+    return {**staged, "fct_tops": fct_tops(staged["stg_tops"]), "fct_trades": fct_trades(staged["stg_trades"])}
+
+
 def build_models(
     spark: SparkSession, tops: str = "iex_tops", trades: str = "iex_trades", prefix: str = ""
 ) -> list[str]:
-    """Views ``stg_tops``, ``stg_trades``, ``fct_tops`` and ``fct_trades`` over two named tables.
+    """Views of the ``models`` over two named tables, named with ``prefix`` and the model's name.
 
-    The views are plans, not copies: a query on a fact is optimised down to the scan of
-    its source.
+    A query on a fact is optimised down to the scan of its source.
     """
-    stages = [
-        ("stg_tops", stg_tops, tops),
-        ("stg_trades", stg_trades, trades),
-        ("fct_tops", fct_tops, f"{prefix}stg_tops"),
-        ("fct_trades", fct_trades, f"{prefix}stg_trades"),
-    ]
-    for name, model, source in stages:
-        model(spark.table(source)).createOrReplaceTempView(f"{prefix}{name}")
-    return [f"{prefix}{name}" for name, _, _ in stages]
+    built = models(spark.table(tops), spark.table(trades))
+    for name, table in built.items():
+        table.createOrReplaceTempView(f"{prefix}{name}")
+    return [f"{prefix}{name}" for name in built]

@@ -206,28 +206,27 @@ def stg_trades(spark, sf_dir):
     return staging.stg_trades(_trades(spark, sf_dir))
 
 
-def _models(spark: SparkSession, sf_dir: str) -> None:
-    normalize.to_tops(_messages(spark, sf_dir)).createOrReplaceTempView("iex_tops")
-    _trades(spark, sf_dir).createOrReplaceTempView("iex_trades")
-    build_models(spark)
+def _models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The models over sources named in a session of their own, so that none overwrites a name."""
+    own = spark.newSession()
+    normalize.to_tops(_messages(own, sf_dir)).createOrReplaceTempView("iex_tops")
+    _trades(own, sf_dir).createOrReplaceTempView("iex_trades")
+    return {name: own.table(name) for name in build_models(own)}
 
 
 @query
 def fct_tops(spark, sf_dir):
-    _models(spark, sf_dir)
-    return _rounded(spark.table("fct_tops"))
+    return _rounded(_models(spark, sf_dir)["fct_tops"])
 
 
 @query
 def fct_tops_by_type(spark, sf_dir):
-    _models(spark, sf_dir)
-    return _rounded(marts.fct_tops(spark.table("stg_tops"), by_type=True))
+    return _rounded(marts.fct_tops(_models(spark, sf_dir)["stg_tops"], by_type=True))
 
 
 @query
 def fct_trades(spark, sf_dir):
-    _models(spark, sf_dir)
-    return _rounded(spark.table("fct_trades"), notional=2)
+    return _rounded(_models(spark, sf_dir)["fct_trades"], notional=2)
 
 
 @query

@@ -26,6 +26,8 @@ def build_session(app: str = "tapespark", master: str | None = None, **settings)
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Recording the Python call site of every Column takes longer than short queries do.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Days that are ingested at the same time share the slots.
+        "spark.scheduler.mode": "FAIR",
         # A task which writes a few days keeps a writer per day instead of sorting its rows.
         "spark.sql.maxConcurrentOutputFileWriters": "16",
     }

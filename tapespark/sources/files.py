@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,9 @@ from tapespark.functions.casting import conform, safe_cast
 from tapespark.operators.combine import union_all
 from tapespark.schemas import TRADE_SCHEMA, with_date
 
+#: Files whose first lines are read at the same time.
+HEADS_AT_ONCE = 16
+
 
 def read_trades_csv(
     spark: SparkSession,
@@ -38,33 +42,44 @@ def read_many_csv(
 ) -> DataFrame:
     """Several trade files as one table, matched by column name; absent columns are NULL.
 
-    One job reads the first line of every file; files with the same header are one scan,
-    so the plan is as wide as there are different headers.
+    The first line of every file is read beforehand, and nothing else of it; files with the
+    same header are one scan, so the plan is as wide as there are different headers.  Files
+    without any line give no rows.
+    """
+    groups: dict[str, list[str]] = {}
+    for path, header in file_headers(spark, paths).items():
+        groups.setdefault(header, []).append(path)
+    if not groups:
+        return spark.createDataFrame([], schema or T.StructType())
+    return union_all([read_trades_csv(spark, sorted(groups[header]), schema) for header in sorted(groups)])
+
+
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """The first line with text of every file that the paths (files, folders, globs) name.
+
+    Read through Hadoop's file systems by a bounded pool of threads, a buffer of each file.
     """
-    files = spark.read.text(list(paths), wholetext=False).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("begin"),
-        "value",
-    )
-    # Of a file's blocks the one at its start holds the header, in its first line.
-    heads = files.where("begin = 0").mapInArrow(_first_lines, "path string, header string")
-    groups = heads.groupBy("header").agg(F.sort_array(F.collect_set("path")).alias("paths")).orderBy("header")
-    return union_all([read_trades_csv(spark, row.paths, schema) for row in groups.collect()])
-
-
-def _first_lines(batches):
-    """The first line of each file of a task, in the order lines are read."""
-    seen = set()
-    for batch in batches:
-        found = []
-        for path, value in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
-            if path not in seen:
-                seen.add(path)
-                found.append((path, value.removeprefix("\ufeff")))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p for p, _ in found], pa.string()), pa.array([h for _, h in found], pa.string())],
-            names=["path", "header"],
+    files = sorted(spark.read.text(list(paths)).inputFiles())
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        heads = pool.map(inheritable_thread_target(spark)(lambda path: _first_line(spark, path)), files)
+        return {path: head for path, head in zip(files, heads) if head is not None}
+
+
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        lines = jvm.java.io.BufferedReader(
+            jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
         )
+        while (line := lines.readLine()) is not None:
+            if line.removeprefix("\ufeff").strip():
+                return line.removeprefix("\ufeff")
+        return None
+    finally:
+        stream.close()
 
 
 def csv_rejects(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = TRADE_SCHEMA) -> DataFrame:

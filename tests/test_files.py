@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from tapespark.functions.feed import feed_date
 from tapespark.operators.metrics import with_trade_date
 from tapespark.schemas import TRADE_SCHEMA
 from tapespark.sinks import write_counted, write_csv, write_daily
+from tapespark.sources.files import file_headers
 from tapespark.sources import csv_rejects, read_daily, read_many_csv, read_trades_csv
 
 DAY, NEXT = dt.datetime(2024, 1, 1, 9, 30), dt.datetime(2024, 1, 2, 9, 30, 0, 250)
@@ -103,3 +105,27 @@ def test_feed_date_takes_the_last_match(spark):
     ]
     dated = spark.createDataFrame(paths, "p string").select(feed_date(F.col("p")).alias("d"))
     assert [r.d for r in dated.collect()] == [dt.date(2017, 10, 31), None, None]
+
+
+def test_headers_are_read_alone(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("symbol,sale_size\nA,1\n" + "B,2\n" * 100_000)
+    (folder / "b.csv").write_bytes("﻿symbol,sale_size\nÄ,3\n".encode())
+    (folder / "c.csv").write_text("")
+    with gzip.open(folder / "d.csv.gz", "wt") as out:
+        out.write("\n\nsale_size,symbol\n4,D\n")
+    heads = file_headers(spark, [str(folder)])
+    assert sorted((p.rsplit("/", 1)[1], h) for p, h in heads.items()) == [
+        ("a.csv", "symbol,sale_size"), ("b.csv", "symbol,sale_size"), ("d.csv.gz", "sale_size,symbol"),
+    ]
+    got = read_many_csv(spark, [str(folder)])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("FileScan csv") == 2
+    assert got.count() == 100_003 and got.where("symbol = 'D'").first().sale_size == 4
+
+
+def test_files_without_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n \n")
+    got = read_many_csv(spark, [str(tmp_path / "a.csv")])
+    assert got.count() == 0 and got.columns == TRADE_SCHEMA.names

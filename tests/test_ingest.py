@@ -5,6 +5,7 @@ import json
 import pytest
 
 from tapespark.operators.outcomes import outcomes, run_summary
+from tapespark.plans import ingest
 from tapespark.plans.ingest import ingest_day, ingest_range, read_outcomes, read_rejects, read_trades
 from tapespark.sources import feed_calendar
 
@@ -182,3 +183,73 @@ def test_a_given_file_is_taken_whatever_its_protocol(spark, tmp_path):
     assert ingest_day(spark, str(named), str(tmp_path / "out")).first().status == "SUCCESS"
     other = str(tmp_path / "raw" / feed_name("20240103"))
     assert ingest_day(spark, other, str(tmp_path / "out")).first().reason == "missing file"
+
+
+def test_rejects_of_a_died_run_are_not_seen(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    put(raw, "20240101", good("20240101"), "trade_report,broken")
+    ingest._load(spark, str(raw / feed_name("20240101")), dt.date(2024, 1, 1), str(out), "died")
+    put(raw, "20240101", good("20240101"))
+    assert ingest_range(spark, "20240101", "20240101", f"{raw}/", str(out)).first().rejected == 0
+    assert read_rejects(spark, str(out)).count() == 0
+    assert read_trades(spark, str(out)).count() == 1
+
+
+def test_a_range_without_rejects_or_files_has_none(spark, tmp_path):
+    raw = tmp_path / "raw"
+    put(raw, "20240101", good("20240101"))
+    ingest_range(spark, "20240101", "20240101", f"{raw}/", f"{tmp_path}/a")
+    ingest_range(spark, "20240102", "20240102", f"{raw}/", f"{tmp_path}/b")
+    for out in ("a", "b"):
+        rejects = read_rejects(spark, f"{tmp_path}/{out}")
+        assert rejects.columns == ["payload", "reason", "date"] and rejects.count() == 0
+    assert read_trades(spark, f"{tmp_path}/b").count() == 0
+
+
+def test_a_day_loaded_again_is_whole_before_and_after(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    put(raw, "20240101", good("20240101", 1), "trade_report,old")
+    ingest_range(spark, "20240101", "20240101", f"{raw}/", out)
+    put(raw, "20240101", good("20240101", 2), good("20240101", 3), "trade_report,new")
+    assert ingest_range(spark, "20240101", "20240101", f"{raw}/", out).first().status == "SKIPPED"
+
+    def seen():
+        trades = sorted(r.sale_size for r in read_trades(spark, out).collect())
+        return trades, [r.payload for r in read_rejects(spark, out).collect()]
+
+    # A second attempt's files are there, but not on record yet.
+    ingest._load(spark, str(raw / feed_name("20240101")), dt.date(2024, 1, 1), out, "under way")
+    assert seen() == ([1], ["trade_report,old"])
+    got = ingest_day(spark, str(raw / feed_name("20240101")), out, again=True).first()
+    assert (got.status, got.rows, got.rejected) == ("SUCCESS", 2, 1)
+    assert seen() == ([2, 3], ["trade_report,new"])
+    # What fails later does not take the finished day away.
+    (raw / feed_name("20240101")).write_bytes(b"not gzip at all")
+    assert ingest_day(spark, str(raw / feed_name("20240101")), out, again=True).first().status == "FAILED"
+    assert seen() == ([2, 3], ["trade_report,new"])
+
+
+def test_days_are_loaded_as_the_slots_allow(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    days = [f"202401{d:02d}" for d in (1, 2, 3, 4, 5)]
+    for day in days:
+        put(raw, day, good(day))
+    asked = []
+    pool = ingest.ThreadPoolExecutor
+    monkeypatch.setattr(ingest, "ThreadPoolExecutor", lambda n: asked.append(n) or pool(n))
+    ingest_range(spark, "20240101", "20240105", f"{raw}/", f"{tmp_path}/a")
+    ingest_range(spark, "20240101", "20240105", f"{raw}/", f"{tmp_path}/b", at_once=2)
+    assert asked == [min(5, spark.sparkContext.defaultParallelism), 2]
+    assert read_trades(spark, f"{tmp_path}/b").count() == 5
+
+
+def test_a_day_is_decoded_once(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    put(raw, "20240101", good("20240101"), "trade_report,broken")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("decoded-once", "")
+    try:
+        assert ingest._load(spark, str(raw / feed_name("20240101")), dt.date(2024, 1, 1), out, "run") == (1, 1)
+        assert len(tracker.getJobIdsForGroup("decoded-once")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
