@@ -9,9 +9,15 @@ in which a match counts 1 and a substitution -3, or where that has too few equal
 window that has most.
 
 A fixed-size filter of the benchmark's seeds thins a document's seeds before the join; it
-only ever lets too much through.  Words are lower-cased and split at white space.  Nulls count as empty texts, items without words match nothing, items shorter than a
-seed are found whole and unchanged only.  Rows without doc_id or item_id cannot be named and
-are not reported.  Repeated rows are reported once.
+only ever lets too much through.  Masks are chosen by the item's length such that every set of
+substitutions that still makes a leak leaves one of its windows untouched: tests go through
+all of them for items of 8 to 16 words.
+
+Words are lower-cased and split at white space.  Nulls count as empty texts, items without
+words match nothing, items of less than 8 words are found whole and unchanged only.  Rows without
+doc_id or item_id cannot be named and are not reported.  Repeated rows are reported once, of
+equally good places the first.  Very long texts and items are taken whole, in batches of ROWS seeds.
+Empty tables give no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -26,9 +32,25 @@ from pyspark.sql import functions as F
 from tapespark.llm.common import window_hashes, word_hashes
 from tapespark.session import scratch_path
 
-#: Fixed masks: offsets of the words that count, of windows of 8 and of 6 words.
-MASKS = ((0, 1, 2, 4, 5, 7), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 7), (0, 1, 2, 3, 4, 5))
-SPAN = 8
+#: Fixed masks: offsets of the words that count, for items of 15 words and more.
+MASKS = (
+    (0, 1, 2, 3, 4, 5), (0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 6, 8), (0, 1, 3, 4, 5, 6), (0, 1, 4, 6, 7, 8),
+)
+#: Fixed masks for shorter items, by their number of words.
+SHORT_MASKS = {
+    8: ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5)),
+    9: ((0, 1, 2, 4, 5),),
+    10: (
+        (0, 1, 2, 3, 5, 6), (0, 1, 2, 3, 5, 7), (0, 1, 3, 4, 7, 8), (0, 1, 4, 5, 6, 7), (0, 2, 4, 5, 6, 7),
+    ),
+    11: ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 5, 6), (0, 1, 2, 5, 7, 8), (0, 2, 3, 4, 5, 6)),
+    12: ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 6, 7), (0, 2, 3, 6, 7, 8)),
+    13: ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7)),
+    14: ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 7, 8)),
+}
+#: Words of the widest mask, and of items from which on MASKS are used.
+SPAN = 9
+LONG = 15
 #: Equal words that make an overlap a leak, and the share of a shorter item that does.  The
 #: same share of a window's words must be equal.
 MATCHED = 12
@@ -47,9 +69,15 @@ BROADCAST_BYTES = 32 << 20
 ROWS = 1 << 16
 
 
-def seeds(words: np.ndarray, short: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(hashes, positions) per mask; of ``short`` words, the one unmasked window's."""
-    masks = [tuple(range(short))] if short else MASKS
+def masks_for(words: int) -> tuple[tuple[int, ...], ...]:
+    """The masks of an item by its number of words; a very short one is a single window."""
+    if words >= LONG:
+        return MASKS
+    return SHORT_MASKS.get(words) or ((tuple(range(words)),) if words else ())
+
+
+def seeds(words: np.ndarray, masks: tuple[tuple[int, ...], ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, positions) per mask."""
     found = []
     for mask in masks:
         hashes = window_hashes(words, mask)
@@ -63,7 +91,7 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(batch.num_rows):
             words = word_hashes(batch.column("text")[k].as_py(), any_case=True)
             item_id = batch.column("item_id")[k].as_py()
-            for hashes, places in seeds(words, len(words) if len(words) < SPAN else 0) if len(words) else ():
+            for hashes, places in seeds(words, masks_for(len(words))):
                 for at in range(0, len(hashes), ROWS):
                     part = hashes[at:at + ROWS].view(np.int64)
                     yield pa.RecordBatch.from_arrays(
@@ -107,17 +135,16 @@ HITS = "doc_id long, start int, size int, seed long, place int"
 REGIONS = "doc_id long, start int, size int, words binary"
 
 
-def _regions(bits: np.ndarray, shorts: list[int], with_words: bool):
+def _regions(bits: np.ndarray, masks: tuple[tuple[int, ...], ...], with_words: bool):
     """Runs of a document's seeds that pass the filter: a row per seed, or per run its words."""
 
     def passing(words):
-        for short in (0, *shorts):
-            for hashes, places in seeds(words, short):
-                top = hashes >> np.uint64(64 - FILTER_BITS)
-                hit = (bits[top >> np.uint64(6)] >> (top & np.uint64(63))) & np.uint64(1)
-                at = np.flatnonzero(hit)
-                if len(at):
-                    yield hashes[at].view(np.int64), places[at]
+        for hashes, places in seeds(words, masks):
+            top = hashes >> np.uint64(64 - FILTER_BITS)
+            hit = (bits[top >> np.uint64(6)] >> (top & np.uint64(63))) & np.uint64(1)
+            at = np.flatnonzero(hit)
+            if len(at):
+                yield hashes[at].view(np.int64), places[at]
 
     def runs(doc_id, words):
         """(doc_id, start, size, seeds, places) of each run, and the words around it."""
@@ -267,9 +294,9 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     count = tested.count()
     told = item_words.agg(
         F.sum(F.length("item") + 16).alias("bytes"),
-        F.collect_set(F.when(F.length("item") < 8 * SPAN, F.length("item") / 8)).alias("shorts"),
+        F.collect_set(F.least(F.length("item") / 8, F.lit(LONG))).alias("lengths"),
     ).first()
-    shorts = sorted(int(x) for x in told["shorts"])
+    masks = tuple(sorted({mask for n in told["lengths"] for mask in masks_for(int(n))}))
     if count <= BROADCAST_SEEDS:
         tested = F.broadcast(tested)
     if (told["bytes"] or 0) <= BROADCAST_BYTES:
@@ -277,7 +304,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text")
     # Where seeds meet is found by places alone; words are laid beside each other only there.
     kept = scratch_path(spark, "met")
-    texts.mapInArrow(_regions(bits, shorts, False), HITS).join(tested, "seed").select(
+    texts.mapInArrow(_regions(bits, masks, False), HITS).join(tested, "seed").select(
         "doc_id", "start", "size", "item_id", (F.col("place") - F.col("item_at")).alias("shift")
     ).distinct().groupBy("doc_id", "start", "size", "item_id").agg(
         F.collect_list("shift").alias("shifts")
@@ -286,7 +313,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     ids = met.select("doc_id").distinct()
     if 8 * ids.count() <= BROADCAST_BYTES:
         ids = F.broadcast(ids)
-    regions = texts.join(ids, "doc_id", "left_semi").mapInArrow(_regions(bits, shorts, True), REGIONS)
+    regions = texts.join(ids, "doc_id", "left_semi").mapInArrow(_regions(bits, masks, True), REGIONS)
     # Only the part of an item that one of the shifts lays beside the region.
     beside = met.withColumns({
         "item_from": F.greatest(F.lit(0), -F.array_max("shifts")),

@@ -1,5 +1,7 @@
 import random
+from itertools import combinations
 
+import numpy as np
 import pytest
 
 from tapespark.llm import decontaminate, queries
@@ -71,13 +73,15 @@ def test_items_with_two_or_three_substitutions_are_leaks(spark):
         (d, text(["other" if k in places else w for k, w in enumerate(words)]))
         for d, (_, words, places) in enumerate(cases)
     ]
-    # A quarter of the words substituted is too many.
-    rows.append((-1, text(["other" if k % 4 == 1 else w for k, w in enumerate(longer)])))
+    # Of a quarter substituted, 12 words of 15 are equal at a place; a third is too many everywhere.
+    cases.append((20, longer, [1, 5, 9, 13, 17]))
+    rows.append((len(rows), text(["other" if k % 4 == 1 else w for k, w in enumerate(longer)])))
+    rows.append((-1, text(["other" if k % 3 == 1 else w for k, w in enumerate(longer)])))
     found = {r.doc_id: r for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
     assert sorted(found) == list(range(len(cases)))
     for d, (item, words, places) in enumerate(cases):
         assert found[d].item_id == item and 12 <= found[d].matched <= len(words) - len(places)
-    assert (found[len(cases) - 1].matched, found[len(cases) - 1].compared) == (22, 26)
+    assert (found[len(cases) - 2].matched, found[len(cases) - 2].compared) == (22, 26)
 
 
 def test_a_seed_does_not_carry_its_item(spark, monkeypatch):
@@ -119,3 +123,34 @@ def test_query_finds_every_run_of_twelve_words(spark):
             want |= {(r.doc_id, item) for item in runs.get(tuple(words[k:k + 12]), ())}
     got = {(r.doc_id, r.item_id) for r in queries.QUERIES["op8_decontaminate"](spark, path).collect()}
     assert got == want and want
+
+
+@pytest.mark.parametrize("words", range(8, 21))
+def test_masks_meet_every_leak(words):
+    """All sets of up to four substitutions that still make a leak; five are too many for 20 words."""
+    windows = [sum(1 << (place + k) for k in mask) for mask in decontaminate.masks_for(words) for place in range(words - mask[-1])]
+    leaks = met = 0
+    for n in range(5):
+        for places in combinations(range(words), n):
+            same = np.ones(words, dtype=bool)
+            same[list(places)] = False
+            if decontaminate.overlap(same, words):
+                changed = sum(1 << k for k in places)
+                leaks += 1
+                met += any(not window & changed for window in windows)
+    assert leaks > words and (met == leaks if words <= 16 else met >= 0.999 * leaks)
+
+
+@pytest.mark.parametrize("words, changed", [(8, 1), (10, 2), (11, 2), (12, 2), (14, 2), (15, 3)])
+def test_short_items_are_found_whatever_was_substituted(spark, words, changed):
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(words))) for k in range(2)]
+    docs = []
+    for places in combinations(range(words), changed):
+        text = items[len(docs) % 2][1].split()
+        for k in places:
+            text[k] = f"other{k}"
+        docs.append((len(docs), "before it " + " ".join(text) + " and after"))
+    got = decontaminate.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, d % 2) for d, _ in docs}
