@@ -8,6 +8,28 @@ from pyspark.sql import functions as F
 from tapespark.session import scratch_path
 
 LABELS = "node long, label long"
+#: A key is frequent with more than FEW rows and more than one in MOST of all, so at most MOST are.
+FEW, MOST = 500, 1000
+
+
+def frequent(rows: DataFrame, key: str) -> list[int]:
+    """The keys that so many rows hold that one task should not take all of them; at most MOST."""
+    bound = max(FEW, rows.count() // MOST)
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).count()
+    return [r[key] for r in counts.where(F.col("count") > bound).select(key).collect()]
+
+
+def join_unique(rows: DataFrame, facts: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``rows`` (a stored table) with what ``facts`` tell of their ``key``, which is unique in them.
+
+    Rows of frequent keys stay where they are: the facts about those few keys are sent to them.
+    """
+    hot = frequent(rows, key)
+    if not hot:
+        return rows.join(facts, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    sent = rows.where(is_hot).join(F.broadcast(facts.where(is_hot)), key, how)
+    return sent.unionByName(rows.where(~is_hot).join(facts.where(~is_hot), key, how))
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -32,17 +54,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         labels = spark.read.schema(LABELS).parquet(f"{root}/labels-{turn}")
         beside = (
-            edges.join(labels.withColumnRenamed("node", "other"), "other")
+            join_unique(edges, labels.withColumnRenamed("node", "other"), "other", "inner")
             .groupBy("node").agg(F.min("label").alias("beside"))
         )
-        nearer = labels.join(beside, "node").select(
+        labels.join(beside, "node").select(
             "node", F.col("label").alias("before"), F.least("label", "beside").alias("label")
-        )
-        jumped = nearer.join(
-            labels.select(F.col("node").alias("label"), F.col("label").alias("further")), "label", "left"
-        ).select("node", "before", F.least("label", "further").alias("label"))
+        ).write.parquet(f"{root}/nearer-{turn}")
+        nearer = spark.read.schema("node long, before long, label long").parquet(f"{root}/nearer-{turn}")
+        further = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         turn += 1
-        jumped.write.parquet(f"{root}/labels-{turn}")
+        join_unique(nearer, further, "label").select(
+            "node", "before", F.least("label", "further").alias("label")
+        ).write.parquet(f"{root}/labels-{turn}")
         after = spark.read.schema(LABELS + ", before long").parquet(f"{root}/labels-{turn}")
         if not after.where("label <> before").take(1):
             return after.select("node", "label")

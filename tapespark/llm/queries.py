@@ -103,4 +103,4 @@ def op13_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: SQL counterparts, for the queries that SQL can express.
-ORACLES: dict[str, str] = {"op7_urls": urls.ORACLE}
+ORACLES: dict[str, str] = {"op7_urls": urls.ORACLE, "op10_jaccard": jaccard.ORACLE}

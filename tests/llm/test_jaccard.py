@@ -3,8 +3,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from checker import compare, connect
 
-from tapespark.llm import jaccard, queries
+from tapespark.llm import components, jaccard, queries
 
 
 def shingles(text):
@@ -61,6 +62,57 @@ def test_components_match_plain_version(spark, monkeypatch, block):
     assert got == brute(rows)
 
 
+def test_long_lists_are_cut(spark, monkeypatch):
+    rows = near_copies(11, 40, 5)
+    # One passage is in every text, so its shingles' lists make their buckets overfull.
+    rows = [(d, t + " this passage is in every single text") for d, t in rows]
+    want = brute(rows)
+    for bins, per_bucket in ((512, 300), (4, 100)):
+        monkeypatch.setattr(jaccard, "BINS", bins)
+        monkeypatch.setattr(jaccard, "PER_BUCKET", per_bucket)
+        monkeypatch.setattr(jaccard, "CHUNK", 2000)
+        counts = {}
+        for _, t in rows:
+            for b in jaccard.bucket_of(jaccard.shingle_set(t), bins):
+                counts[int(b)] = counts.get(int(b), 0) + 1
+        buckets, parts = jaccard.plan_buckets(counts)
+        assert buckets > 4 and (bins > 4 or parts.max() > 1)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(frame(spark, rows)).collect()}
+        assert got == want
+
+
+def test_different_sets_with_one_number_are_told_apart(spark, monkeypatch):
+    whole = jaccard.class_of
+    monkeypatch.setattr(jaccard, "class_of", lambda entries: (whole(entries)[0] % 5, whole(entries)[1]))
+    rows = near_copies(13, 6, 4) + [(100, None), (101, "a b"), (102, "A  b")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(frame(spark, rows)).collect()}
+    assert got == brute(rows)
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr(components, "FEW", 5)
+    monkeypatch.setattr(components, "MOST", 50)
+    draw = random.Random(4)
+    pairs = [(1, k) for k in range(2, 60)] + [(200 + k, 201 + k) for k in range(40)] + [(draw.randint(300, 400), draw.randint(300, 400)) for _ in range(60)]
+    pairs += [(7, 7), (None, 3), (500, None)]
+    up = {}
+
+    def root(x):
+        up.setdefault(x, x)
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        if a is not None and b is not None:
+            a, b = root(a), root(b)
+            up[max(a, b)] = min(a, b)
+    links = spark.createDataFrame(pairs, "a long, b long")
+    got = {r.node: r.label for r in components.components(links).collect()}
+    assert got == {x: root(x) for x in up}
+    assert components.components(links.limit(0)).count() == 0
+
+
 def test_links_among_join_what_is_linked():
     rows = near_copies(5, 1, 60)
     sets = [np.array(sorted(abs(hash(s)) for s in shingles(t)), dtype=np.uint64) for _, t in rows]
@@ -87,8 +139,35 @@ def test_keep_one(spark):
     assert sorted((r.doc_id or 0, r.label) for r in kept.collect()) == [(0, "x"), (0, "x"), (1, "n"), (3, "e"), (4, "e")]
 
 
+def test_keep_one_drops_no_text_for_its_id(spark):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    rows = [
+        (1, "a b c d e f", 1), (1, "totally other words that nothing stands for", 1), (1, "a b c d e f", 1),
+        (2, "totally other words that nothing stands for", 2), (3, long, 3), (3, long + " eighteen", 3), (4, long, 4),
+        (5, None, 5), (5, "", 5), (6, "x y", 6), (None, "x y", 7), (None, "x y", 7),
+    ]
+    schema = "doc_id long, text string, `set` long"
+    more = [(*r, r[0], "n", 1.5, True, "k", "h") for r in rows]
+    docs = spark.createDataFrame(more, schema + ", `__nameless` long, class string, of double, stays boolean, `a.b` string, several string")
+    kept = jaccard.keep_one(docs.repartition(3))
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+    third = [r for r in got if r[0] == 3]
+    assert len(third) == 1 and third[0][1].startswith(long)
+    assert [r for r in got if r[0] != 3] == [
+        (0, "x y"), (0, "x y"), (1, "a b c d e f"), (1, "totally other words that nothing stands for"), (5, ""), (6, "x y"),
+    ]
+    assert all(r["__nameless"] == r.doc_id and r["a.b"] == "k" and r["set"] in (r.doc_id, 7) for r in kept.collect())
+    assert jaccard.keep_one(docs.limit(0)).count() == 0
+
+
 def test_query_matches_plain_version(spark):
     path = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.QUERIES["op10_jaccard"](spark, path).collect()}
     assert got == brute(rows)
+
+
+def test_query_matches_its_sql(spark):
+    path = "/root/testdata/sf0.001"
+    assert compare(queries.QUERIES["op10_jaccard"](spark, path), connect(path), queries.ORACLES["op10_jaccard"]) == []
