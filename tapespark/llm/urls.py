@@ -1,13 +1,15 @@
 """URL filter: host-suffix and path-prefix expressions looked up among hashed rules.
 
-A URL is expanded into one expression per shape a rule can have (labels in its host, length
-of its path), so a rule fits exactly where its host is the URL's host or a parent domain and
-the URL's path starts with its path.  Expressions meet rules in an equi-join on the first
-``PREFIX`` hex digits of their SHA-256, full digests confirm, and of several rules the one
-with the longest expression decides; of equal ones a block.
+A URL is expanded by what it is: its host and every parent domain, and for those that have rules
+the prefixes of its path at the lengths that the domain's rules have.  So a rule fits
+exactly where its host is the URL's host or a parent domain and the URL's path starts with
+its path, and the plan does not depend on how many rules or shapes there are.  Domains and expressions
+meet rules in equi-joins on the first ``PREFIX`` hex digits of their SHA-256, full digests
+confirm, and of several rules the one with the longest expression decides; of equal ones a block.
 
 Null urls and urls without ``://`` have an empty host and path, which no rule with a host
-fits.  An empty table gives an empty table.  Repeated rows and ids stay, each judged alone.
+fits; very long urls are expanded whole.  An empty table gives an empty table.  Repeated rows and
+ids stay, each judged alone.  Columns other than page_id and url are not looked at.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ from pyspark.sql import functions as F
 
 #: Hex digits of the digest on which urls and rules are joined.
 PREFIX = 8
-#: Most rules that are sent to every executor; a larger set is joined by a shuffle.
-BROADCAST_RULES = 100_000
+#: Most bytes of rules that are sent to every executor; a larger set is joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+#: Bytes of a rule besides its text: digests, lengths and what a row takes.
+ROW_BYTES = 200
 
 #: The rules in force.
 RULES = (
@@ -50,43 +54,47 @@ def _labels(host: Column) -> Column:
     return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
 
 
+def _short(digest: str) -> Column:
+    return F.substring(digest, 1, PREFIX)
+
+
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of ``pages``."""
-    spark = pages.sparkSession
-    rules = (
-        rules.where("rule_host is not null and rule_path is not null and rule_verdict in ('allow', 'block')")
-        .select(
-            _labels(F.col("rule_host")).alias("labels"),
-            F.length("rule_path").alias("chars"),
-            F.concat("rule_host", "rule_path").alias("rule"),
-            "rule_verdict",
-        )
-        .distinct()
-        .withColumn("digest", F.sha2("rule", 256))
-        .withColumn("short", F.substring("digest", 1, PREFIX))
+    known = rules.where("rule_host is not null and rule_path is not null and rule_verdict in ('allow', 'block')")
+    known = known.select("rule_host", "rule_path", "rule_verdict").distinct()
+    size = known.agg(F.sum(F.octet_length("rule_host") + F.octet_length("rule_path") + ROW_BYTES)).first()[0] or 0
+
+    def sent(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+    # The lengths of the paths that a domain's rules have.
+    domains = (
+        known.groupBy("rule_host").agg(F.collect_set(F.length("rule_path")).alias("lengths"))
+        .withColumn("domain_digest", F.sha2("rule_host", 256))
+        .select("domain_digest", _short("domain_digest").alias("domain_short"), "lengths")
     )
-    # Shapes are pairs of small numbers, far fewer than rules.
-    shapes = rules.groupBy("labels", "chars").count().collect()
-    if sum(row["count"] for row in shapes) <= BROADCAST_RULES:
-        rules = F.broadcast(rules)
-    parts = with_parts(pages.select("page_id", "url")).drop("url").withColumn(
-        "row", F.monotonically_increasing_id()
+    expressions = (
+        known.withColumn("rule", F.concat("rule_host", "rule_path")).withColumn("rule_digest", F.sha2("rule", 256))
+        .select("rule_digest", _short("rule_digest").alias("rule_short"), "rule", "rule_verdict")
     )
-    expressions = F.array_compact(F.array(*(
-        F.when(
-            (F.length("path") >= s["chars"]) & (_labels(F.col("host")) >= s["labels"]),
-            F.concat(F.substring_index("host", ".", -s["labels"]), F.substring("path", 1, s["chars"])),
-        )
-        for s in shapes
-    ))) if shapes else F.array().cast("array<string>")
-    asked = parts.select("*", F.explode_outer(F.array_distinct(expressions)).alias("asked"))
-    asked = asked.withColumn("asked_digest", F.sha2("asked", 256)).withColumn(
-        "short", F.substring("asked_digest", 1, PREFIX)
+    parts = with_parts(pages.select("page_id", "url")).drop("url").withColumn("row", F.monotonically_increasing_id())
+    # The host itself comes first; a row that leads to nothing is kept for it alone.
+    suffixes = F.transform(F.sequence(_labels(F.col("host")), F.lit(1), F.lit(-1)), lambda k: F.call_function("substring_index", F.col("host"), F.lit("."), -k))
+    asked = (
+        parts.select("*", F.posexplode(suffixes).alias("at", "domain"))
+        .withColumn("asked_digest", F.sha2("domain", 256)).withColumn("domain_short", _short("asked_digest"))
+        .join(sent(domains), "domain_short", "left")
+        .withColumn("lengths", F.when(F.col("asked_digest") == F.col("domain_digest"), F.col("lengths")))
+        .where("lengths is not null or at = 0")
+        .withColumn("lengths", F.filter("lengths", lambda n: n <= F.length("path")))
+        .select("row", "page_id", "host", "path", "domain", F.explode_outer("lengths").alias("chars"))
+        .withColumn("asked_digest", F.sha2(F.concat("domain", F.substring("path", F.lit(1), F.col("chars"))), 256))
+        .withColumn("rule_short", _short("asked_digest"))
     )
-    met = asked.join(rules, "short", "left").withColumn(
+    met = asked.join(sent(expressions), "rule_short", "left").withColumn(
         "fit",
         F.when(
-            F.col("asked_digest") == F.col("digest"),
+            F.col("asked_digest") == F.col("rule_digest"),
             F.struct(F.length("rule"), F.col("rule_verdict") == "block", F.col("rule"), F.col("rule_verdict")),
         ),
     )

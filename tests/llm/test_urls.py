@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from checker import compare, connect
@@ -41,6 +44,25 @@ def test_no_rules_and_no_pages(spark):
     assert urls.judge(pages.limit(0), rules).count() == 0
 
 
+def test_many_rules_of_many_shapes(spark, monkeypatch):
+    draw = random.Random(3)
+    names = [f"h{k}.org" for k in range(40)]
+    rules = {(("a." * draw.randint(0, 8)) + draw.choice(names), "/" + "p" * k, draw.choice(["allow", "block"])) for k in range(700) for _ in range(3)}
+    pages = [(k, f"http://{'a.' * draw.randint(0, 9)}{draw.choice(names)}/{'p' * draw.randint(0, 800)}x") for k in range(300)]
+    begin = time.perf_counter()
+    for most in (urls.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(urls, "BROADCAST_BYTES", most)
+        table = spark.createDataFrame(sorted(rules), "rule_host string, rule_path string, rule_verdict string")
+        got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), table).collect()
+        for r in got:
+            host, path = pages[r.page_id][1].removeprefix("http://").split("/", 1)
+            fits = [(len(h + p), v == "block", h + p, v) for h, p, v in rules
+                    if (host == h or host.endswith("." + h)) and f"/{path}".startswith(p)]
+            best = max(fits, default=None)
+            assert (r.rule, r.verdict) == ((best[2], best[3]) if best else (None, "allow"))
+    assert time.perf_counter() - begin < 60
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_query_matches_sql(spark, sf):
     path = f"/root/testdata/{sf}"
