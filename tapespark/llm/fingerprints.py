@@ -10,6 +10,9 @@ A fingerprint is a sketch of the hashes of all spans of ``SPAN`` code points: th
 into ``SLOTS`` slots by value, and each slot keeps 16 bits of its smallest.  The share of
 equal slots estimates how many spans two texts have in common.  A text shorter than ``SPAN``
 is one span; null counts as empty, and the empty text's fingerprint has only empty slots.
+Very long texts are taken whole.  Repeated rows each have the next one, equal to them, as their
+successor; equal ids are ordered by text.  Empty tables give no rows, and columns other than
+doc_id and text are not looked at.
 """
 
 from __future__ import annotations

@@ -5,8 +5,9 @@ fitted on a bounded sample of labelled rows (``SAMPLE``) and flattened into arra
 whole batches are walked level by level in numpy.
 
 Nulls count as empty texts, whose statistics are all zero and which get a score like any
-other.  Only the text is read for a score.  Repeated rows are scored alike; labels repeated
-for one document count as their largest; empty tables give empty results.
+other; very long texts are measured whole.  Only the text is read for a score, whatever other
+columns there are.  Repeated rows are scored alike; labels repeated for one document count as
+their largest; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -249,7 +250,8 @@ def accept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
     The trees are fitted from the sample's own statistics, so only its texts are read twice.
     """
-    known = labels.select("doc_id").where(~held_out(F.col("doc_id"))).distinct()
+    known = labels.where("quality is not null and doc_id is not null").select("doc_id")
+    known = known.where(~held_out(F.col("doc_id"))).distinct()
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left_semi")
     trees = learn(measure(sample), labels)

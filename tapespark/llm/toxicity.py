@@ -1,15 +1,18 @@
-"""Toxicity: a learnt lexicon, matched exactly and within one edit, read in its context.
+"""Toxicity: a learnt lexicon, matched exactly and with misspellings, read in its context.
 
 Terms are words and word beginnings that Spark counts in a bounded sample of labelled
 documents (``TOXIC_SAMPLE``, ``CLEAN_SAMPLE``); those are kept that toxic texts hold too often
 for chance, copies of one text counted once.  Texts are matched token by token: a Levenshtein
 automaton of the token, kept as bit sets, is intersected with the trie of the terms, so all
-terms within one edit are found in one walk.  A hit that stands in quotation marks or beside a word of reporting counts as
-quoted.  A logistic model over a text's hits gives the score.
-
-Nulls count as empty texts; a text without hits has the score of no hits.  Only the text is
-read for a score.  Repeated rows are scored alike, labels repeated for one document count as
-their largest, and empty tables give empty results.
+terms near it are found in one walk.  Letters left out, put in, replaced or swapped with the
+next are one edit each; terms of SHORTEST letters and more may have one, those of FAR and more
+two, but for terms that clean texts come so near to.  A hit that stands in an open quotation, or beside
+a word of reporting, counts as quoted.  A logistic model over a text's hits gives the score.
+
+Nulls count as empty texts; a text without hits has the score of no hits; very long texts are
+read whole.  Only the text is read for a score, whatever other columns there are.  Repeated rows
+are scored alike, labels repeated for one document count as their largest, and empty tables
+give empty results.
 """
 
 from __future__ import annotations
@@ -30,15 +33,18 @@ from tapespark.session import scratch_path
 #: Most labelled documents of either kind that are learnt from, taken by the hash of their id.
 TOXIC_SAMPLE, CLEAN_SAMPLE = 4_000, 8_000
 THRESHOLD = 0.7
-#: Lengths of word beginnings that may become terms; candidates kept at most.
+#: Lengths of word beginnings that may become terms.
 STEMS = (4, 5, 6)
-CANDIDATES = 20_000
 #: Texts with this many telling words in common count as copies of each other.
 COPIES = 20
 #: Terms expected to pass by chance among all that are equally frequent.
 CHANCE = 0.3
 #: Terms of this length or more are also matched within one edit.
 FUZZY_LENGTH = 5
+#: With swaps and two edits: the shortest terms that may be misspelt, and those that may be twice.
+SHORTEST, FAR = 4, 8
+#: Tokens after which a quotation that is not closed was none.
+QUOTED = 60
 #: Tokens on either side that count as context.
 CONTEXT = 5
 #: Tokens remembered per worker, which bounds its memory.
@@ -50,28 +56,50 @@ REPORTING = frozenset(
     "palabra mot terme wort sagte genannt".split()
 )
 QUOTES = "\"'«»“”„‘’‹›"
+CLOSING = {'"': '"', "'": "'", "«": "»", "»": "«", "“": "”", "”": "”", "„": "“”", "‘": "’", "’": "’", "‹": "›", "›": "‹"}
 TOKEN = re.compile(r"\S+")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
+def shortened(word: str, letters: int) -> set[str]:
+    """``word`` and what is left of it without up to ``letters`` letters."""
+    found = last = {word}
+    for _ in range(letters):
+        last = {w[:k] + w[k + 1:] for w in last for k in range(len(w))}
+        found = found | last
+    return found
+
+
+def allowed(term: str) -> int:
+    """Edits within which a term counts as misspelt, swaps being one."""
+    return 0 if len(term) < SHORTEST else 1 if len(term) < FAR else 2
+
+
 @dataclass(frozen=True)
 class Lexicon:
-    """Whole words and word beginnings; the trie of the words long enough for an edit."""
+    """Whole words and word beginnings; the trie of the words long enough for an edit.
+
+    ``swaps``: misspellings are those of ``allowed``; else one edit, without swaps, of words of
+    FUZZY_LENGTH letters and more.
+    """
 
     words: frozenset[str]
     stems: frozenset[str]
     trie: dict = field(compare=False, default_factory=dict)
     halves: frozenset[str] = frozenset()
+    swaps: bool = False
+    shorter: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
 
     @classmethod
-    def of(cls, terms: list[str], loose: list[str]) -> Lexicon:
+    def of(cls, terms: list[str], loose: list[str], swaps: bool = False) -> Lexicon:
         """``terms``: words, and beginnings written with a final ``*``; ``loose``: those that
-        are also matched within one edit."""
+        are also matched with misspellings."""
         words = frozenset(t for t in terms if not t.endswith("*"))
         trie: dict = {}
         halves = set()
+        shorter: tuple[set[str], set[str]] = (set(), set())
         for word in loose:
-            if len(word) < FUZZY_LENGTH or word.endswith("*"):
+            if len(word) < (SHORTEST if swaps else FUZZY_LENGTH) or word.endswith("*"):
                 continue
             node = trie
             for c in word:
@@ -79,8 +107,11 @@ class Lexicon:
             node[""] = word
             # One edit leaves the first or the last half of a term as it is.
             halves |= {word[:len(word) // 2], "$" + word[len(word) // 2:]}
+            # Words within as many edits have a word in common that is as many letters shorter.
+            if swaps:
+                shorter[allowed(word) - 1].update(shortened(word, allowed(word)))
         stems = frozenset(t[:-1] for t in terms if t.endswith("*"))
-        return cls(words, stems, trie, frozenset(halves))
+        return cls(words, stems, trie, frozenset(halves), swaps, (frozenset(shorter[0]), frozenset(shorter[1])))
 
 
 def within_one_edit(token: str, trie: dict) -> str | None:
@@ -110,14 +141,81 @@ def within_one_edit(token: str, trie: dict) -> str | None:
     return None
 
 
+def nearest_term(token: str, trie: dict) -> str | None:
+    """The first term of the trie within its ``allowed`` edits of ``token``, swaps being one edit.
+
+    As ``within_one_edit`` with a set for none, one and two edits; a swap leads on from the
+    sets two letters before.
+    """
+    places: dict[str, int] = {}
+    for i, c in enumerate(token):
+        places[c] = places.get(c, 0) | (2 << i)
+    end = 1 << len(token)
+    full = (end << 1) - 1
+    nothing = (0, 0, 0)
+    stack = [(trie, (1, 3, 7), nothing, "")]
+    while stack:
+        node, now, before, last = stack.pop()
+        for c, below in node.items():
+            if c == "":
+                if any(now[k] & end for k in range(allowed(below) + 1)):
+                    return below
+                continue
+            at = places.get(c, 0)
+            swapped = (at << 1) & places.get(last, 0)
+            after = [(now[0] << 1) & at]
+            for k in (1, 2):
+                after.append((
+                    ((now[k] << 1) & at) | now[k - 1] | (now[k - 1] << 1) | (after[k - 1] << 1)
+                    | ((before[k - 1] << 2) & swapped)
+                ) & full)
+            if any(after):
+                stack.append((below, tuple(after), now, c))
+    return None
+
+
 EXACT, FUZZY = 1, 2
 TERM_ROWS = "doc_id long, toxic int, term string"
 
 
+def misspelt(token: str, lexicon: Lexicon) -> str | None:
+    """The term that a token is a misspelling of."""
+    once, twice = lexicon.shorter
+    if len(token) < SHORTEST - 1 or len(token) > 64:
+        return None
+    less = shortened(token, 1)
+    # Only tokens of a word in common with a term are walked through the trie.
+    if less.isdisjoint(once) and (
+        not twice or len(token) < FAR - 2 or (less.isdisjoint(twice) and shortened(token, 2).isdisjoint(twice))
+    ):
+        return None
+    return nearest_term(token, lexicon.trie)
+
+
+def quoted_places(tokens: list[str]) -> set[int]:
+    """Tokens that stand in quotations, which end within QUOTED tokens."""
+    found: set[int] = set()
+    begin, mark = 0, ""
+    for k, token in enumerate(tokens):
+        if mark and k - begin > QUOTED:
+            mark = ""
+        bare = token.lstrip("([")
+        if not mark and bare[:1] and bare[0] in QUOTES:
+            begin, mark = k, CLOSING[bare[0]]
+            token = bare[1:]
+        # A quotation ends with its mark, behind or before the sentence's.
+        if mark and (token.rstrip(".,;:!?)]")[-1:] or " ") in mark:
+            found.update(range(begin, k + 1))
+            mark = ""
+    return found
+
+
 def match(token: str, lexicon: Lexicon) -> int:
     """0, EXACT or FUZZY for a token without its outer punctuation, in lower case."""
     if token in lexicon.words or any(token[:k] in lexicon.stems for k in STEMS):
         return EXACT
+    if lexicon.swaps:
+        return FUZZY if misspelt(token, lexicon) else 0
     if len(token) >= FUZZY_LENGTH - 1 and (
         any(token[:k] in lexicon.halves for k in range(2, 1 + len(token) // 2 + 1))
         or any("$" + token[-k:] in lexicon.halves for k in range(2, 2 + (len(token) + 1) // 2 + 1))
@@ -148,12 +246,10 @@ class Matcher:
         kinds = list(map(self._kind, tokens))
         exact = fuzzy = quoted = 0
         if any(kinds):
-            for k in np.flatnonzero(kinds):
-                token = tokens[k]
+            inside = quoted_places(tokens)
+            for k in np.flatnonzero(kinds).tolist():
                 near = tokens[max(0, k - CONTEXT):k + CONTEXT + 1]
-                if (token[0] in QUOTES and token.rstrip(".,;:!?")[-1] in QUOTES) or any(
-                    EDGES.sub("", t.lower()) in REPORTING for t in near
-                ):
+                if k in inside or any(EDGES.sub("", t.lower()) in REPORTING for t in near):
                     quoted += 1
                 elif kinds[k] == EXACT:
                     exact += 1
@@ -219,7 +315,7 @@ def _term_rows(wanted: frozenset[str] | None):
 
 
 def _near_rows(lexicon: Lexicon):
-    """The terms that a document's words come within one edit of without being one."""
+    """The terms that a document's words are taken for misspellings of."""
 
     def run(batches):
         for batch in batches:
@@ -227,7 +323,7 @@ def _near_rows(lexicon: Lexicon):
             for k in range(batch.num_rows):
                 for core in {EDGES.sub("", t.lower()) for t in TOKEN.findall(batch.column("text")[k].as_py() or "")}:
                     if core and match(core, lexicon) == FUZZY:
-                        found.add(within_one_edit(core, lexicon.trie))
+                        found.add(misspelt(core, lexicon))
             yield pa.RecordBatch.from_pydict({"term": pa.array(sorted(found), pa.string())})
 
     return run
@@ -335,10 +431,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         .write.parquet(kept_counts)
     )
     counted = spark.read.schema("term string, toxic long, clean long").parquet(kept_counts)
-    candidates = (
-        counted.where("toxic >= 2 and clean * 20 <= toxic")
-        .orderBy(F.desc("toxic"), "term").limit(CANDIDATES).collect()
-    )
+    # The sample bounds how many these are.
+    candidates = counted.where("toxic >= 2 and clean * 20 <= toxic").collect()
     counts = {r["term"]: (r["toxic"], r["clean"]) for r in candidates}
     alike = {
         r["held"]: r["count"]
@@ -353,10 +447,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     total = sum(r["count"] for r in sizes)
     share = sum(r["count"] for r in sizes if r["toxic"]) / max(1, total)
     terms = telling(counts, alike, holds, share)
-    # Terms that clean texts come near by chance are matched exactly only.
-    near = sample.where("toxic = 0").mapInArrow(_near_rows(Lexicon.of(terms, terms)), "term string")
+    # Terms that clean texts come near to by chance are matched exactly only.
+    near = sample.where("toxic = 0").mapInArrow(_near_rows(Lexicon.of(terms, terms, swaps=True)), "term string")
     loose = {r["term"] for r in near.groupBy("term").count().collect()}
-    lexicon = Lexicon.of(terms, [t for t in terms if t not in loose])
+    lexicon = Lexicon.of(terms, [t for t in terms if t not in loose], swaps=True)
     rows = sample.mapInArrow(_hit_rows(lexicon), "toxic int, hits array<double>").collect()
     hits = np.array([r["hits"] for r in rows], dtype=float).reshape(len(rows), 4)
     y = np.array([r["toxic"] for r in rows], dtype=float)

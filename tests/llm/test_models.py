@@ -101,3 +101,103 @@ def test_quoted_hits_are_told_from_direct_ones():
     assert matcher.hits("You idiot, you idi0t and more words follow here")[:3] == [1.0, 1.0, 0.0]
     assert matcher.hits('the “idiot” of the play')[:3] == [0.0, 0.0, 1.0]
     assert matcher.hits("he said idiot twice")[:3] == [0.0, 0.0, 1.0]
+
+
+def swaps_and_edits(a, b):
+    """Letters left out, put in, replaced or swapped with the next, no place being edited twice."""
+    rows = [list(range(len(b) + 1))]
+    for i, c in enumerate(a, 1):
+        rows.append([i])
+        for j, d in enumerate(b, 1):
+            best = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (c != d))
+            if i > 1 and j > 1 and c == b[j - 2] and a[i - 2] == d:
+                best = min(best, rows[i - 2][j - 2] + 1)
+            rows[i].append(best)
+    return rows[-1][-1]
+
+
+def test_automaton_finds_terms_with_swaps_and_two_edits():
+    terms = ["worthless", "stupid", "scum", "idiot", "disgusting"]
+    lexicon = toxicity.Lexicon.of(terms, terms, swaps=True)
+    draw = np.random.default_rng(3)
+    found = 0
+    for _ in range(4000):
+        word = list(terms[draw.integers(len(terms))])
+        for _ in range(draw.integers(0, 4)):
+            at = int(draw.integers(len(word)))
+            if draw.integers(2) and at + 1 < len(word):
+                word[at], word[at + 1] = word[at + 1], word[at]
+            else:
+                word[at:at + draw.integers(0, 2)] = list("abc" if draw.integers(2) else "u")[:draw.integers(0, 2)]
+        word = "".join(word)
+        near = any(swaps_and_edits(word, t) <= toxicity.allowed(t) for t in terms)
+        assert (toxicity.nearest_term(word, lexicon.trie) is not None) == near
+        assert (toxicity.match(word, lexicon) > 0) == near
+        found += near
+    assert found > 1000
+    matcher = toxicity.Matcher(lexicon)
+    assert matcher.hits("wrothless idoit wortless scvm")[:3] == [0.0, 4.0, 0.0]
+
+
+def test_quotations_over_several_words():
+    matcher = toxicity.Matcher(toxicity.Lexicon.of(["idiot", "worthless"], [], swaps=True))
+    assert matcher.hits('"you are a worthless idiot" was on the wall')[:3] == [0.0, 0.0, 2.0]
+    assert matcher.hits("“worthless idiot” was there, (‘an idiot’).")[:3] == [0.0, 0.0, 3.0]
+    assert matcher.hits('„you idiot“ and «du idiot», idiot')[:3] == [1.0, 0.0, 2.0]
+    assert matcher.hits('an open " stands alone, you worthless idiot')[:3] == [2.0, 0.0, 0.0]
+    assert matcher.hits('"open ' + "so " * 70 + 'idiot" end')[:3] == [1.0, 0.0, 0.0]
+    assert matcher.hits("the dogs' idiot isn't 'it")[:3] == [1.0, 0.0, 0.0]
+
+
+def test_toxicity_query_scores_as_its_model_does(spark, labels):
+    """The query against the model applied to every text in one place, hits found by comparing all terms."""
+    path = "/root/testdata/sf0.01"
+    docs, marks = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.learn(docs, marks)
+    terms = [t for t in toxicity_terms(model.lexicon.trie)]
+    kinds = {}
+
+    def kind(token):
+        core = toxicity.EDGES.sub("", token.lower())
+        if core not in kinds:
+            exact = core in model.lexicon.words or any(core[:k] in model.lexicon.stems for k in toxicity.STEMS)
+            near = [t for t in terms if abs(len(t) - len(core)) <= 2 and swaps_and_edits(core, t) <= toxicity.allowed(t)]
+            kinds[core] = 1 if core and exact else 2 if core and near and len(core) <= 64 else 0
+        return kinds[core]
+
+    rows = {r.doc_id: r for r in queries.QUERIES["op2_toxicity"](spark, path).collect()}
+    texts = sorted((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
+    assert len(rows) == len(texts)
+    for doc_id, text in texts[:150]:
+        told = [kind(t) for t in text.split()]
+        r = rows[doc_id]
+        assert r.n_exact + r.n_misspelt + r.n_quoted == sum(k > 0 for k in told)
+        assert r.n_exact <= told.count(1) and r.n_misspelt <= told.count(2)
+        direct = r.n_exact + model.fuzzy_worth * r.n_misspelt
+        x = model.weights @ [1, np.log1p(direct), min(direct, 1), np.log1p(r.n_quoted)]
+        assert abs(r.score - 1 / (1 + np.exp(-x))) < 1e-9
+
+
+def toxicity_terms(trie):
+    for c, below in trie.items():
+        if c == "":
+            yield below
+        else:
+            yield from toxicity_terms(below)
+
+
+def test_quality_query_scores_as_its_trees_do(spark):
+    """The query against a walk from node to node over statistics taken text by text."""
+    path = "/root/testdata/sf0.01"
+    docs, marks = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
+    trees = quality.learn(quality.measure(docs), marks)
+    rows = {r.doc_id: r for r in queries.QUERIES["op1_quality"](spark, path).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        row = np.asarray(quality.statistics(r.text))
+        total = trees.base
+        for column, cut, value in zip(trees.column, trees.cut, trees.value):
+            node = 0
+            for _ in range(trees.depth):
+                node = 2 * node + 1 + int(row[column[node]] > cut[node])
+            total += value[node - (2 ** trees.depth - 1)]
+        assert abs(rows[r.doc_id].score - 1 / (1 + np.exp(-total))) < 1e-9
