@@ -6,12 +6,15 @@ the templates below, cut down and varied, and from a bounded sample of the corpu
 paragraphs as ``none`` (``SAMPLE``; those that speak of licences are left out).  A paragraph
 whose best family has too little probability is ``unknown`` if it speaks of a licence; the
 bound is calibrated on held-back paragraphs.  A prediction stands if the paragraph shares
-enough of its words with a template of the family.
+enough of its words with a template of the family, words it has beyond them counting against it.
+Templates are the usual references, SPDX lines and the paragraphs of whole notices.
 
 Scored are the sentences that hold a cue, and those that hold so many words of a template that
 they can be confirmed (``HINTS`` follow from the templates and leave none of these out).  A
-notice wrapped over lines up to a blank one is judged on the lines together.  Nulls count as empty texts, without notices.  Repeated rows are scanned alike; an
-empty table gives an empty result, and without a corpus the templates alone are learnt from.
+notice wrapped over lines up to a blank one is judged on the lines together.  Nulls count as
+empty texts, without notices; very long texts are read whole.  Repeated rows are scanned alike; of equally alike notices
+the shortest and then the first is kept.  An empty table gives an empty result, and without a corpus the templates alone
+are learnt from.  Columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,42 +35,114 @@ SAMPLE = 4_000
 WIDTH = 1 << 12
 #: Share of a template's words that a paragraph must hold to confirm a family.
 CONFIRM = 0.6
+#: Likeness to a template from which on it decides alone.
+SURE = 0.8
 #: Share of held-back paragraphs of none that may exceed the bound of the unknown class.
 MISTAKEN = 0.001
 
-#: Wordings by which texts name their licence, by family.
+#: Wordings by which texts name their licence, and the paragraphs of whole notices, by
+#: family.  Paragraphs that several licences have in common stand with the most usual one.
 TEMPLATES = {
     "mit": (
         "Released under the MIT License.",
         "Licensed under the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+        " documentation files (the \"Software\"), to deal in the Software without restriction, including without"
+        " limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the"
+        " Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions"
+        " of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED"
+        " TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,"
+        " WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE"
+        " OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        "SPDX-License-Identifier: MIT",
     ),
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
         "Released under the Apache License 2.0.",
         "you may not use this file except in compliance with the License",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed"
+        " on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "See the License for the specific language governing permissions and limitations under the License.",
+        "SPDX-License-Identifier: Apache-2.0",
     ),
     "gpl": (
         "Licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "Released under the GPL.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the"
+        " implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+        "See the GNU General Public License for more details.",
+        "You should have received a copy of the GNU General Public License along with this program.",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "lgpl": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "Released under the LGPL.",
+        "See the GNU Lesser General Public License for more details.",
+        "You should have received a copy of the GNU Lesser General Public License along with this program.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+    ),
+    "agpl": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "Released under the AGPL.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "See the GNU Affero General Public License for more details.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
     ),
     "bsd": (
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following"
+        " disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the"
+        " following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED"
+        " WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A"
+        " PARTICULAR PURPOSE ARE DISCLAIMED.",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ),
     "mpl": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "SPDX-License-Identifier: MPL-2.0",
+    ),
+    "isc": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "cc-by": (
+        "Licensed under CC BY 4.0.", "Licensed under a Creative Commons Attribution 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-4.0",
+    ),
+    "cc-by-sa": (
+        "Licensed under CC BY-SA 4.0.", "Licensed under Creative Commons Attribution-ShareAlike 4.0.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    ),
+    "cc-by-nc": (
+        "Licensed under CC BY-NC 4.0.", "Licensed under Creative Commons Attribution-NonCommercial 4.0.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
+    ),
+    "cc0": (
+        "Released under CC0 1.0.", "To the extent possible under law, the author has dedicated this work to the public domain.",
+        "SPDX-License-Identifier: CC0-1.0",
     ),
-    "cc-by": ("Licensed under CC BY 4.0.", "Licensed under a Creative Commons Attribution 4.0 International License."),
-    "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "Licensed under Creative Commons Attribution-ShareAlike 4.0."),
-    "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "Licensed under Creative Commons Attribution-NonCommercial 4.0."),
-    "cc0": ("Released under CC0 1.0.", "To the extent possible under law, the author has dedicated this work to the public domain."),
     "reserved": ("All rights reserved.", "Copyright 2020. All rights reserved.", "No part may be reproduced without permission."),
 }
 NONE, UNKNOWN = "none", "unknown"
@@ -170,6 +246,17 @@ def resemblance(paragraph: str, family: str) -> float:
     return max(len(words & t) / len(t) for t in _WORDS[family])
 
 
+def likeness(paragraph: str, family: str) -> float:
+    """Words in common among those of both, of the most alike template that CONFIRM allows.
+
+    Words of the paragraph that the template lacks count against it.
+    """
+    words = set(words_of(paragraph))
+    return max(
+        (2 * len(words & t) / (len(words) + len(t)) for t in _WORDS[family] if len(words & t) >= CONFIRM * len(t)), default=0.0
+    )
+
+
 def _hints() -> tuple[str, ...]:
     """Words of which a text holds one if it has CONFIRM of any template's words."""
     common = set(
@@ -186,13 +273,20 @@ def _hints() -> tuple[str, ...]:
 
 
 HINTS = _hints()
+_finder: list = []
 #: Words of the longest run of lines that is judged as one notice.
 WRAPPED = 2 * max(len(t) for templates in _WORDS.values() for t in templates)
 
 
 def hinted(text: str) -> bool:
-    low = text.lower()
-    return any(w in low for w in HINTS)
+    if not _finder:
+        # All hints are sought in one pass over the text.
+        finder = ahocorasick.Automaton()
+        for hint in HINTS:
+            finder.add_word(hint, hint)
+        finder.make_automaton()
+        _finder.append(finder)
+    return next(_finder[0].iter(text.lower()), None) is not None
 
 
 def resembling(paragraph: str) -> bool:
@@ -208,10 +302,20 @@ def classify(paragraph: str, model: Model) -> tuple[str, float, float]:
     family, likely = model.families[best], float(p[best])
     if p[-1] > likely:
         return NONE, float(p[-1]), 0.0
-    like = resemblance(paragraph, family)
-    if likely < model.bound or like < CONFIRM:
-        return UNKNOWN, likely, like
-    return family, likely, like
+    # Of the families whose templates agree the paragraph must be most alike to the predicted one, or so
+    # alike to another that there is no doubt.
+    alike = {f: likeness(paragraph, f) for f in TEMPLATES}
+    nearest = max(alike, key=lambda f: (alike[f], f == family))
+    like = resemblance(paragraph, nearest if alike[nearest] else family)
+    if alike[nearest] >= SURE or (nearest == family and likely >= model.bound and like >= CONFIRM):
+        return nearest, float(p[model.families.index(nearest)]), like
+    return UNKNOWN, likely, like
+
+
+def held(paragraph: str, family: str) -> int:
+    """Words in common with the family's template that has most, among those that CONFIRM allows."""
+    words = set(words_of(paragraph))
+    return max((len(words & t) for t in _WORDS.get(family, ()) if len(words & t) >= CONFIRM * len(t)), default=0)
 
 
 def _clean_paragraphs(batches):
@@ -258,7 +362,7 @@ def _judged(sentence: str, model: Model, seen: dict, cues: bool) -> tuple[str, f
 
 
 def _wrapped(sentence: str, start: int, model: Model, seen: dict, cues: bool) -> list[tuple]:
-    """Confirmed notices over two or more lines of a sentence, the most alike first, none overlapping."""
+    """Confirmed notices over two or more lines of a sentence, those that hold most first, none overlapping."""
     lines, at = [], start
     for line in sentence.split("\n"):
         if line.strip():
@@ -278,7 +382,7 @@ def _wrapped(sentence: str, start: int, model: Model, seen: dict, cues: bool) ->
             if kind[0] not in (NONE, UNKNOWN):
                 found.append((begin, end, *kind))
     kept: list[tuple] = []
-    for n in sorted(found, key=lambda n: (-n[4], n[1] - n[0], n[0])):
+    for n in sorted(found, key=lambda n: (-held(sentence[n[0] - start:n[1] - start], n[2]), n[1] - n[0], n[0])):
         if all(n[1] <= k[0] or k[1] <= n[0] for k in kept):
             kept.append(n)
     return kept
@@ -309,8 +413,9 @@ def notices_in(text: str | None, model: Model, seen: dict) -> list[tuple]:
             for sentence in SENTENCE.split(block):
                 if "\n" in sentence.strip() and hinted(sentence) and resembling(sentence):
                     for n in _wrapped(sentence, at, model, seen, cues):
+                        # A notice over several lines stands for what its lines alone were taken for.
                         beside = [f for f in found if f[0] < n[1] and n[0] < f[1]]
-                        if all(f[2] == UNKNOWN for f in beside):
+                        if all(held(text[f[0]:f[1]], f[2]) < held(text[n[0]:n[1]], n[2]) for f in beside):
                             found = [f for f in found if f not in beside] + [n]
                 at += len(sentence)
         start += len(block)

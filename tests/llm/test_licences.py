@@ -58,3 +58,39 @@ def test_hints_leave_out_nothing_that_can_be_confirmed():
             least = next(m for m in range(1, len(words) + 1) if m / len(words) >= licences.CONFIRM)
             for _ in range(50):
                 assert licences.hinted(" ".join(draw.choice(words, least, replace=False)))
+
+
+NOTICES = {
+    "mit": licences.TEMPLATES["mit"][3:7], "apache": licences.TEMPLATES["apache"][2:6], "gpl": licences.TEMPLATES["gpl"][1:2] + licences.TEMPLATES["gpl"][3:6],
+    "bsd": licences.TEMPLATES["bsd"][1:6], "mpl": (licences.TEMPLATES["mpl"][0], licences.TEMPLATES["mpl"][2]),
+}
+
+
+def test_whole_notices_wrapped_anywhere():
+    draw = licences.np.random.default_rng(5)
+    model = licences.fit([f"plain words number {k} of a text" for k in range(400)])
+    for family, paragraphs in NOTICES.items():
+        for paragraph in paragraphs:
+            for width in (0, 5, 9, 14):
+                words = paragraph.split()
+                cuts = [k for k in range(1, len(words)) if width and k % width == int(draw.integers(width))]
+                text = " ".join(("\n" if k in cuts else "") + w for k, w in enumerate(words)).replace(" \n", "\n")
+                found = licences.notices_in(f"Some words before.\n\n{text}\n\nand after.", model, {})
+                assert {n[2] for n in found if n[2] != "unknown"} == {family}, (family, text)
+
+
+def test_identifiers_and_near_families():
+    model = licences.fit([f"plain words number {k} of a text" for k in range(400)])
+    cases = {
+        "SPDX-License-Identifier: MIT": "mit", "// SPDX-License-Identifier: GPL-3.0-or-later": "gpl", "SPDX-License-Identifier: Apache-2.0": "apache",
+        "Licensed under the GNU Affero General Public License, version 3.": "agpl",
+        "Licensed under the GNU Lesser General Public License, version 2.1.": "lgpl",
+        "Licensed under the GNU General Public License, version 3.": "gpl",
+    }
+    for text, family in cases.items():
+        assert [n[2] for n in licences.notices_in(text, model, {})] == [family], text
+    for text in (
+        "Many people ask which licence they should choose for their work.", "The driving licence office is open on Mondays.",
+        "Free software is a matter of liberty, not price.", "He redistributed the copies among his friends.",
+    ):
+        assert all(n[2] == "unknown" for n in licences.notices_in(text, model, {})), text
