@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,3 +108,22 @@ def window_hashes(words: np.ndarray, offsets: tuple[int, ...]) -> np.ndarray:
 
 def digest(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def release() -> None:
+    """Hand memory that a worker does not use back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which keeps what it likes
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over batches, and ``release`` after them."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release()
+
+    return wrapped

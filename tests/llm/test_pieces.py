@@ -27,6 +27,24 @@ def test_ids_are_the_librarys_and_decode_to_the_text(spark, model):
     assert pieces.encode(docs.limit(0)).count() == 0
 
 
+def test_columns_of_any_name_repeats_and_small_packs(spark, model, monkeypatch):
+    monkeypatch.setattr(pieces, "PACK", 1)
+    monkeypatch.setattr(pieces, "REPEATS", 2)
+    rows = [(k % 3, TEXTS[k % len(TEXTS)], k, "p", None, 1, k, "h", True) for k in range(40)] + [(7, "again and again", 1, None, "w", 2, 3, "x", None)] * 30
+    schema = "doc_id long, text string, `__block` int, pack string, word string, block int, h int, `a.b` string, own boolean"
+    got = pieces.encode(spark.createDataFrame(rows, schema).repartition(3), blocks=5).collect()
+    assert sorted(map(repr, (tuple(r)[:-1] for r in got))) == sorted(map(repr, rows))
+    assert all(r.ids == model.encode(r.text or "") for r in got)
+
+
+def test_many_long_words(spark, model):
+    draw = random.Random(8)
+    texts = ["".join(draw.choice("etaoin shrdlu") for _ in range(draw.randint(0, 400))) for _ in range(50)]
+    texts += ["".join(draw.choice("etaoins") for _ in range(n)) for n in (119, 120, 121, 60, 300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r.ids == model.encode(r.text) for r in pieces.encode(docs).collect())
+
+
 def test_the_sign_itself_decodes_as_a_space(spark, model):
     docs = spark.createDataFrame([(1, "a▁b")], "doc_id long, text string")
     row = pieces.round_trip(docs).first()
