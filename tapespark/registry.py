@@ -6,6 +6,7 @@ orders.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -207,11 +208,16 @@ def stg_trades(spark, sf_dir):
 
 
 def _models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The models over sources named in a session of their own, so that none overwrites a name."""
-    own = spark.newSession()
-    normalize.to_tops(_messages(own, sf_dir)).createOrReplaceTempView("iex_tops")
-    _trades(own, sf_dir).createOrReplaceTempView("iex_trades")
-    return {name: own.table(name) for name in build_models(own)}
+    """The models over named sources, whose names are this call's own and gone after it."""
+    own = f"q{uuid.uuid4().hex}_"
+    sources = {"iex_tops": normalize.to_tops(_messages(spark, sf_dir)), "iex_trades": _trades(spark, sf_dir)}
+    for name, table in sources.items():
+        table.createOrReplaceTempView(own + name)
+    built = build_models(spark, f"{own}iex_tops", f"{own}iex_trades", own)
+    tables = {name.removeprefix(own): spark.table(name) for name in built}
+    for name in (*(own + name for name in sources), *built):
+        spark.catalog.dropTempView(name)
+    return tables
 
 
 @query
