@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapespark.llm.common import window_hashes, word_hashes
+from tapespark.llm.common import tidy, window_hashes, word_hashes
 from tapespark.session import scratch_path
 
 #: Fixed masks: offsets of the words that count, for items of 15 words and more.
@@ -304,7 +304,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text")
     # Where seeds meet is found by places alone; words are laid beside each other only there.
     kept = scratch_path(spark, "met")
-    texts.mapInArrow(_regions(bits, masks, False), HITS).join(tested, "seed").select(
+    texts.mapInArrow(tidy(_regions(bits, masks, False)), HITS).join(tested, "seed").select(
         "doc_id", "start", "size", "item_id", (F.col("place") - F.col("item_at")).alias("shift")
     ).distinct().groupBy("doc_id", "start", "size", "item_id").agg(
         F.collect_list("shift").alias("shifts")
@@ -313,7 +313,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     ids = met.select("doc_id").distinct()
     if 8 * ids.count() <= BROADCAST_BYTES:
         ids = F.broadcast(ids)
-    regions = texts.join(ids, "doc_id", "left_semi").mapInArrow(_regions(bits, masks, True), REGIONS)
+    regions = texts.join(ids, "doc_id", "left_semi").mapInArrow(tidy(_regions(bits, masks, True)), REGIONS)
     # Only the part of an item that one of the shifts lays beside the region.
     beside = met.withColumns({
         "item_from": F.greatest(F.lit(0), -F.array_max("shifts")),

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapespark.llm.common import BASE, mixed, window_hashes, word_hashes
+from tapespark.llm.common import BASE, mixed, release, tidy, window_hashes, word_hashes
 from tapespark.llm.components import components, join_unique
 from tapespark.session import scratch_path
 
@@ -291,7 +291,9 @@ def _shared(homes: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         hashes, classes, sizes = _by_list(table)
         _, runs = _runs(hashes)
-        return _homed(key[0].as_py(), hashes, np.repeat(runs, runs), classes, sizes, homes)
+        homed = _homed(key[0].as_py(), hashes, np.repeat(runs, runs), classes, sizes, homes)
+        release()
+        return homed
 
     return run
 
@@ -352,7 +354,9 @@ def _searched(key: tuple, table: pa.Table) -> pa.Table:
         short = (end - start) - least_shared(n) + 1
         if short >= 1:
             rows.append((int(classes[start]), n, int(short), hashes[start:end].tobytes()))
-    return _table(rows, SEARCHED)
+    found = _table(rows, SEARCHED)
+    release()
+    return found
 
 
 def _short_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -480,9 +484,9 @@ def _searched_classes(texts: DataFrame, sized: DataFrame, met: frozenset[int]) -
     # Buckets follow the entries, so packed rows stay few and large whatever the partitions.
     buckets, parts = plan_buckets(counts)
     homes = 1 + buckets // 2
-    shared = texts.mapInArrow(_dealt(buckets, parts, met, False), DEALT).groupBy("bucket").applyInArrow(_shared(homes), SHARED)
+    shared = texts.mapInArrow(tidy(_dealt(buckets, parts, met, False)), DEALT).groupBy("bucket").applyInArrow(_shared(homes), SHARED)
     if (parts > 1).any():
-        texts.mapInArrow(_dealt(buckets, parts, met, True), DEALT).write.parquet(f"{root}/cut")
+        texts.mapInArrow(tidy(_dealt(buckets, parts, met, True)), DEALT).write.parquet(f"{root}/cut")
         cut = spark.read.schema(DEALT).parquet(f"{root}/cut").groupBy("bucket", "part")
         lengths = cut.applyInArrow(_part_lengths, LENGTHS).groupBy("bucket").applyInArrow(_whole_lengths, LENGTHS)
         shared = shared.union(cut.cogroup(lengths.groupBy("bucket", "part")).applyInArrow(_shared_part(homes), SHARED))
@@ -498,7 +502,7 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, frozenset[int]]:
     spark = docs.sparkSession
     root = scratch_path(spark, "jaccard")
     texts = docs.select("doc_id", "text")
-    texts.mapInArrow(_sized, SIZED).write.parquet(f"{root}/sized")
+    texts.mapInArrow(tidy(_sized), SIZED).write.parquet(f"{root}/sized")
     told = spark.read.schema(SIZED).parquet(f"{root}/sized")
     rows = told.where("bin is null")
     # Among 10**11 sets some hundred classes are met in by different ones.

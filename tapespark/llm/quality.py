@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapespark.llm.common import held_out
+from tapespark.llm.common import held_out, tidy
 from tapespark.session import scratch_path
 
 #: Most labelled rows that the trees are fitted on, taken by the hash of their id.
@@ -255,4 +255,4 @@ def accept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left_semi")
     trees = learn(measure(sample), labels)
-    return docs.mapInArrow(_accepting(trees, threshold), docs.schema)
+    return docs.mapInArrow(tidy(_accepting(trees, threshold)), docs.schema)
