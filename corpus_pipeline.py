@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and returns the documents it keeps, which are
 written as Parquet and read again for the next.  All but the last return the columns of
 documents; the last adds the pieces of each text.
+
+Nulls: a null text counts as an empty one; rows without doc_id go through all stages, as
+nothing can stand for them and no overlap names them.  Ties and repeated rows: equal texts share their fate,
+and of the rows of one near-duplicate group the smallest doc_id stays, once.  Very long texts
+are taken whole.  Empty tables give empty results.  Columns beyond those of documents are
+carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +44,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their pieces, their number, and whether they decode to the text."""
     return (
-        pieces.decode(pieces.encode(docs))
+        pieces.encode(docs, decoded="decoded")
         .withColumn("n_tokens", F.size("ids").cast("long"))
         .withColumn("same", F.col("decoded") == F.coalesce("text", F.lit("")))
         .drop("decoded")
