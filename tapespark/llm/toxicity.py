@@ -48,7 +48,7 @@ QUOTED = 60
 #: Tokens on either side that count as context.
 CONTEXT = 5
 #: Tokens remembered per worker, which bounds its memory.
-REMEMBERED = 300_000
+REMEMBERED = 1 << 19
 
 #: Words that introduce someone else's words.
 REPORTING = frozenset(
@@ -75,6 +75,28 @@ def allowed(term: str) -> int:
     return 0 if len(term) < SHORTEST else 1 if len(term) < FAR else 2
 
 
+def letters(word: str) -> int:
+    """A bit for every letter, by its number modulo 64."""
+    mask = 0
+    for c in word:
+        mask |= 1 << (ord(c) & 63)
+    return mask
+
+
+def letters_by_length(terms: list[str]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By length of a token: the letters of terms that it may misspell, and how many may differ."""
+    found: dict[int, list[tuple[int, int]]] = {}
+    for term in sorted(terms):
+        edits = allowed(term)
+        for length in range(len(term) - edits, len(term) + edits + 1):
+            # An edit changes two letters at most, one that goes and one that comes.
+            found.setdefault(length, []).append((letters(term), 2 * edits))
+    return {
+        length: (np.array([m for m, _ in pairs], dtype=np.uint64), np.array([n for _, n in pairs], dtype=np.uint8))
+        for length, pairs in found.items()
+    }
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Whole words and word beginnings; the trie of the words long enough for an edit.
@@ -89,6 +111,7 @@ class Lexicon:
     halves: frozenset[str] = frozenset()
     swaps: bool = False
     shorter: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
+    near: dict = field(compare=False, default_factory=dict)
 
     @classmethod
     def of(cls, terms: list[str], loose: list[str], swaps: bool = False) -> Lexicon:
@@ -111,7 +134,8 @@ class Lexicon:
             if swaps:
                 shorter[allowed(word) - 1].update(shortened(word, allowed(word)))
         stems = frozenset(t[:-1] for t in terms if t.endswith("*"))
-        return cls(words, stems, trie, frozenset(halves), swaps, (frozenset(shorter[0]), frozenset(shorter[1])))
+        near = letters_by_length([t for t in loose if not t.endswith("*") and allowed(t)]) if swaps else {}
+        return cls(words, stems, trie, frozenset(halves), swaps, (frozenset(shorter[0]), frozenset(shorter[1])), near)
 
 
 def within_one_edit(token: str, trie: dict) -> str | None:
@@ -181,7 +205,8 @@ TERM_ROWS = "doc_id long, toxic int, term string"
 def misspelt(token: str, lexicon: Lexicon) -> str | None:
     """The term that a token is a misspelling of."""
     once, twice = lexicon.shorter
-    if len(token) < SHORTEST - 1 or len(token) > 64:
+    near = lexicon.near.get(len(token))
+    if near is None or not (np.bitwise_count(near[0] ^ np.uint64(letters(token))) <= near[1]).any():
         return None
     less = shortened(token, 1)
     # Only tokens of a word in common with a term are walked through the trie.
