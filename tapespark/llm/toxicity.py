@@ -4,10 +4,11 @@ Terms are words and word beginnings that Spark counts in a bounded sample of lab
 documents (``TOXIC_SAMPLE``, ``CLEAN_SAMPLE``); those are kept that toxic texts hold too often
 for chance, copies of one text counted once.  Texts are matched token by token: a Levenshtein
 automaton of the token, kept as bit sets, is intersected with the trie of the terms, so all
-terms near it are found in one walk.  Letters left out, put in, replaced or swapped with the
-next are one edit each; terms of SHORTEST letters and more may have one, those of FAR and more
-two, but for terms that clean texts come so near to.  A hit that stands in an open quotation, or beside
-a word of reporting, counts as quoted.  A logistic model over a text's hits gives the score.
+terms near it are found in one walk, which the new tokens of several texts make together.  Letters
+left out, put in, replaced or swapped with the next are one edit each; terms of SHORTEST letters and
+more may have one, those of FAR and more two, but for terms that clean texts come so near to.  A hit
+that stands in an open quotation, or beside a word of reporting, counts as quoted.  A logistic model
+over a text's hits gives the score.
 
 Nulls count as empty texts; a text without hits has the score of no hits; very long texts are
 read whole.  Only the text is read for a score, whatever other columns there are.  Repeated rows
@@ -18,7 +19,7 @@ give empty results.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from math import comb
 
@@ -49,6 +50,11 @@ QUOTED = 60
 CONTEXT = 5
 #: Tokens remembered per worker, which bounds its memory.
 REMEMBERED = 1 << 19
+#: Characters from which on no further text's tokens are held beside those at hand; words that
+#: walk through the trie together, and sets of places, one for a letter and word, that they may have.
+HELD, TOGETHER, SETS = 1 << 20, 1 << 14, 1 << 22
+#: Letters of the longest words whose sets of places fit a 64-bit number, two edits behind them included.
+PLACES = 60
 
 #: Words that introduce someone else's words.
 REPORTING = frozenset(
@@ -61,13 +67,10 @@ TOKEN = re.compile(r"\S+")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
-def shortened(word: str, letters: int) -> set[str]:
-    """``word`` and what is left of it without up to ``letters`` letters."""
-    found = last = {word}
-    for _ in range(letters):
-        last = {w[:k] + w[k + 1:] for w in last for k in range(len(w))}
-        found = found | last
-    return found
+def core_of(token: str) -> str:
+    """A token without its outer punctuation, in lower case."""
+    low = token.lower()
+    return low if low.isalnum() else EDGES.sub("", low)
 
 
 def allowed(term: str) -> int:
@@ -75,26 +78,28 @@ def allowed(term: str) -> int:
     return 0 if len(term) < SHORTEST else 1 if len(term) < FAR else 2
 
 
-def letters(word: str) -> int:
-    """A bit for every letter, by its number modulo 64."""
-    mask = 0
-    for c in word:
-        mask |= 1 << (ord(c) & 63)
-    return mask
+def code_points(words: list[str]) -> np.ndarray:
+    """The code points of ``words``, one word behind the other."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
 
+def letters(words: list[str]) -> np.ndarray:
+    """For each word, none of them empty, a bit for every letter, by its number modulo 64."""
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    bits = np.uint64(1) << (code_points(words) & np.uint32(63)).astype(np.uint64)
+    return np.bitwise_or.reduceat(bits, np.concatenate([[0], ends[:-1]]))
 
-def letters_by_length(terms: list[str]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By length of a token: the letters of terms that it may misspell, and how many may differ."""
-    found: dict[int, list[tuple[int, int]]] = {}
-    for term in sorted(terms):
+
+def letters_by_length(terms: list[str]) -> dict[int, list[tuple[np.uint64, int]]]:
+    """By length of a token: the letters of terms that it may misspell, and how many may come or go."""
+    found: dict[int, set[tuple[np.uint64, int]]] = {}
+    for term, mask in zip(terms, letters(terms)):
         edits = allowed(term)
         for length in range(len(term) - edits, len(term) + edits + 1):
-            # An edit changes two letters at most, one that goes and one that comes.
-            found.setdefault(length, []).append((letters(term), 2 * edits))
-    return {
-        length: (np.array([m for m, _ in pairs], dtype=np.uint64), np.array([n for _, n in pairs], dtype=np.uint8))
-        for length, pairs in found.items()
-    }
+            found.setdefault(length, set()).add((mask, edits))
+    return {length: sorted(pairs) for length, pairs in found.items()}
 
 
 @dataclass(frozen=True)
@@ -110,7 +115,6 @@ class Lexicon:
     trie: dict = field(compare=False, default_factory=dict)
     halves: frozenset[str] = frozenset()
     swaps: bool = False
-    shorter: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
     near: dict = field(compare=False, default_factory=dict)
 
     @classmethod
@@ -120,7 +124,6 @@ class Lexicon:
         words = frozenset(t for t in terms if not t.endswith("*"))
         trie: dict = {}
         halves = set()
-        shorter: tuple[set[str], set[str]] = (set(), set())
         for word in loose:
             if len(word) < (SHORTEST if swaps else FUZZY_LENGTH) or word.endswith("*"):
                 continue
@@ -130,12 +133,9 @@ class Lexicon:
             node[""] = word
             # One edit leaves the first or the last half of a term as it is.
             halves |= {word[:len(word) // 2], "$" + word[len(word) // 2:]}
-            # Words within as many edits have a word in common that is as many letters shorter.
-            if swaps:
-                shorter[allowed(word) - 1].update(shortened(word, allowed(word)))
         stems = frozenset(t[:-1] for t in terms if t.endswith("*"))
         near = letters_by_length([t for t in loose if not t.endswith("*") and allowed(t)]) if swaps else {}
-        return cls(words, stems, trie, frozenset(halves), swaps, (frozenset(shorter[0]), frozenset(shorter[1])), near)
+        return cls(words, stems, trie, frozenset(halves), swaps, near)
 
 
 def within_one_edit(token: str, trie: dict) -> str | None:
@@ -198,23 +198,117 @@ def nearest_term(token: str, trie: dict) -> str | None:
     return None
 
 
+def _reach(trie: dict) -> tuple[dict[int, tuple[int, int, int]], set[str]]:
+    """By the identity of a node: the most edits and the shortest and longest words of its terms; all letters."""
+    nodes = [(trie, 0)]
+    for node, depth in nodes:
+        nodes.extend((child, depth + 1) for c, child in node.items() if c != "")
+    found: dict[int, tuple[int, int, int]] = {}
+    for node, depth in reversed(nodes):
+        below = [found[id(child)] for c, child in node.items() if c != ""]
+        if "" in node:
+            below.append((allowed(node[""]), depth, depth))
+        edits, short, long = zip(*below)
+        found[id(node)] = max(edits), min(short), max(long)
+    return found, {c for node, _ in nodes for c in node if c != ""}
+
+
+def nearest_terms(tokens: list[str], trie: dict) -> list[str | None]:
+    """``nearest_term`` of each token, all of PLACES letters at most walking through the trie together."""
+    if not trie:
+        return [None] * len(tokens)
+    reach, alphabet = _reach(trie)
+    together = max(1, min(TOGETHER, SETS // len(alphabet)))
+    found = [None if len(t) <= PLACES else nearest_term(t, trie) for t in tokens]
+    at = [k for k, t in enumerate(tokens) if len(t) <= PLACES]
+    for k in range(0, len(at), together):
+        _walk(at[k:k + together], tokens, trie, reach, alphabet, found)
+    return found
+
+
+def _walk(
+    which: list[int], tokens: list[str], trie: dict, reach: dict, alphabet: set[str], found: list[str | None]
+) -> None:
+    """Put the terms of the tokens numbered in ``which`` into ``found``.
+
+    The sets of ``nearest_term``, an array for each, over the tokens that still have places;
+    nodes are seen in its order, and a token's first term is kept.
+    """
+    words = [tokens[k] for k in which]
+    n = len(words)
+    lengths = np.fromiter(map(len, words), np.int64, n)
+    codes = code_points(words)
+    number = {c: r for r, c in enumerate(sorted(alphabet))}
+    known = code_points(list(number))
+    rank = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    held = known[rank] == codes
+    owner = np.repeat(np.arange(n), lengths)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    # The last row, before a first letter, stays empty.
+    places = np.zeros((len(known) + 1, n), dtype=np.uint64)
+    np.bitwise_or.at(places, (rank[held], owner[held]), np.uint64(2) << place[held].astype(np.uint64))
+    one, two = np.uint64(1), np.uint64(2)
+    end = one << lengths.astype(np.uint64)
+    full = (end << one) - one
+    open_ = np.ones(n, dtype=bool)
+    none = np.zeros(n, dtype=np.uint64)
+    stack = [(trie, np.arange(n), [none + one, none + np.uint64(3), none + np.uint64(7)], [none, none], len(known))]
+    while stack:
+        node, ids, now, before, last = stack.pop()
+        most, short, long = reach[id(node)]
+        stay = open_[ids] & (lengths[ids] >= short - most) & (lengths[ids] <= long + most)
+        if not stay.all():
+            ids = ids[stay]
+            now, before = [x[stay] for x in now], [x[stay] for x in before]
+        if not len(ids):
+            continue
+        if "" in node:
+            ended = now[0] & end[ids]
+            for k in range(1, allowed(node[""]) + 1):
+                ended |= now[k] & end[ids]
+            for k in ids[ended != 0].tolist():
+                found[which[k]] = node[""]
+            open_[ids[ended != 0]] = False
+        for c, below in node.items():
+            if c == "":
+                continue
+            letter = number[c]
+            at = places[letter, ids]
+            swapped = (at << one) & places[last, ids]
+            after = [(now[0] << one) & at]
+            # No term below may have more edits than ``reach`` says.
+            for k in range(1, reach[id(below)][0] + 1):
+                after.append((
+                    ((now[k] << one) & at) | now[k - 1] | (now[k - 1] << one) | (after[k - 1] << one)
+                    | ((before[k - 1] << two) & swapped)
+                ) & full[ids])
+            alive = after[0]
+            for x in after[1:]:
+                alive = alive | x
+            alive = alive != 0
+            if alive.any():
+                stack.append((below, ids[alive], [x[alive] for x in after], [x[alive] for x in now[:2]], letter))
+
+
 EXACT, FUZZY = 1, 2
 TERM_ROWS = "doc_id long, toxic int, term string"
 
 
-def misspelt(token: str, lexicon: Lexicon) -> str | None:
-    """The term that a token is a misspelling of."""
-    once, twice = lexicon.shorter
-    near = lexicon.near.get(len(token))
-    if near is None or not (np.bitwise_count(near[0] ^ np.uint64(letters(token))) <= near[1]).any():
-        return None
-    less = shortened(token, 1)
-    # Only tokens of a word in common with a term are walked through the trie.
-    if less.isdisjoint(once) and (
-        not twice or len(token) < FAR - 2 or (less.isdisjoint(twice) and shortened(token, 2).isdisjoint(twice))
-    ):
-        return None
-    return nearest_term(token, lexicon.trie)
+def misspelt(words: list[str], lexicon: Lexicon) -> dict[str, str]:
+    """The words that are misspellings, with a term that each stands for."""
+    by_length: dict[int, list[str]] = {}
+    for word in words:
+        by_length.setdefault(len(word), []).append(word)
+    # An edit brings one letter at most and takes one at most; only words within are walked through the trie.
+    near: list[str] = []
+    for length, same in by_length.items():
+        if length and length in lexicon.near:
+            masks = letters(same)
+            fits = np.zeros(len(same), dtype=bool)
+            for mask, edits in lexicon.near[length]:
+                fits |= (np.bitwise_count(masks & ~mask) <= edits) & (np.bitwise_count(mask & ~masks) <= edits)
+            near.extend(same[k] for k in np.flatnonzero(fits).tolist())
+    return {word: term for word, term in zip(near, nearest_terms(near, lexicon.trie)) if term}
 
 
 def quoted_places(tokens: list[str]) -> set[int]:
@@ -235,48 +329,84 @@ def quoted_places(tokens: list[str]) -> set[int]:
     return found
 
 
+def matches(words: list[str], lexicon: Lexicon) -> dict[str, int]:
+    """EXACT or FUZZY for those tokens that are hits; tokens as ``core_of`` leaves them."""
+    whole, stems = lexicon.words, lexicon.stems
+    found = {w: EXACT for w in words if w in whole}
+    for k in STEMS if stems else ():
+        found.update((w, EXACT) for w in words if w[:k] in stems)
+    rest = [w for w in words if w not in found]
+    if lexicon.swaps:
+        found.update(dict.fromkeys(misspelt(rest, lexicon), FUZZY))
+        return found
+    for token in rest:
+        if len(token) >= FUZZY_LENGTH - 1 and (
+            any(token[:k] in lexicon.halves for k in range(2, 1 + len(token) // 2 + 1))
+            or any("$" + token[-k:] in lexicon.halves for k in range(2, 2 + (len(token) + 1) // 2 + 1))
+        ) and within_one_edit(token, lexicon.trie):
+            found[token] = FUZZY
+    return found
+
+
 def match(token: str, lexicon: Lexicon) -> int:
     """0, EXACT or FUZZY for a token without its outer punctuation, in lower case."""
-    if token in lexicon.words or any(token[:k] in lexicon.stems for k in STEMS):
-        return EXACT
-    if lexicon.swaps:
-        return FUZZY if misspelt(token, lexicon) else 0
-    if len(token) >= FUZZY_LENGTH - 1 and (
-        any(token[:k] in lexicon.halves for k in range(2, 1 + len(token) // 2 + 1))
-        or any("$" + token[-k:] in lexicon.halves for k in range(2, 2 + (len(token) + 1) // 2 + 1))
-    ):
-        return FUZZY if within_one_edit(token, lexicon.trie) else 0
-    return 0
+    return matches([token], lexicon).get(token, 0)
+
+
+def tokens_held(texts: Iterable[str | None]) -> Iterator[list[list[str]]]:
+    """The tokens of each text, for as many texts at a time as reach HELD characters."""
+    held: list[list[str]] = []
+    size = 0
+    for text in texts:
+        held.append(TOKEN.findall(text or ""))
+        size += len(text or "")
+        if size >= HELD:
+            yield held
+            held, size = [], 0
+    yield held
 
 
 class Matcher:
     """Hits of a lexicon in texts, with the tokens seen before remembered."""
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.seen = lexicon, {}
-
-    def _kind(self, token: str) -> int:
-        kind = self.seen.get(token)
-        if kind is None:
-            core = EDGES.sub("", token.lower())
-            kind = match(core, self.lexicon) if core else 0
-            if len(self.seen) >= REMEMBERED:
-                self.seen.clear()
-            self.seen[token] = kind
-        return kind
+        self.lexicon = lexicon
+        self.seen: set[str] = set()
+        self.kinds: dict[str, int] = {}
+
+    def _judge(self, tokens: set[str]) -> None:
+        """Have the kinds of all hits among ``tokens``."""
+        if len(self.seen) >= REMEMBERED:
+            self.seen.clear()
+            self.kinds.clear()
+        new = tokens - self.seen
+        self.seen |= new
+        cores = {t: core_of(t) for t in new}
+        found = matches([w for w in set(cores.values()) if w], self.lexicon)
+        self.kinds.update((t, found[w]) for t, w in cores.items() if w in found)
 
     def hits(self, text: str | None) -> list[float]:
         """Direct exact, direct fuzzy, quoted hits, tokens."""
-        tokens = TOKEN.findall(text or "")
-        kinds = list(map(self._kind, tokens))
+        return next(self.all_hits([text]))
+
+    def all_hits(self, texts: Iterable[str | None]) -> Iterator[list[float]]:
+        """``hits`` of each text."""
+        for held in tokens_held(texts):
+            self._judge(set().union(*held))
+            yield from map(self._counts, held)
+
+    def _counts(self, tokens: list[str]) -> list[float]:
         exact = fuzzy = quoted = 0
-        if any(kinds):
+        if not self.kinds.keys().isdisjoint(tokens):
             inside = quoted_places(tokens)
-            for k in np.flatnonzero(kinds).tolist():
+            for k, token in enumerate(tokens):
+                kind = self.kinds.get(token)
+                if not kind:
+                    continue
                 near = tokens[max(0, k - CONTEXT):k + CONTEXT + 1]
-                if k in inside or any(EDGES.sub("", t.lower()) in REPORTING for t in near):
+                if k in inside or any(core_of(t) in REPORTING for t in near):
                     quoted += 1
-                elif kinds[k] == EXACT:
+                elif kind == EXACT:
                     exact += 1
                 else:
                     fuzzy += 1
@@ -318,7 +448,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int = 50)
 
 
 def _terms_of(text: str | None) -> set[str]:
-    cores = {EDGES.sub("", t.lower()) for t in TOKEN.findall(text or "")}
+    cores = map(core_of, set(TOKEN.findall(text or "")))
     words = {w for w in cores if len(w) > 2}
     return words | {f"{w[:k]}*" for w in words for k in STEMS if len(w) >= k}
 
@@ -340,15 +470,15 @@ def _term_rows(wanted: frozenset[str] | None):
 
 
 def _near_rows(lexicon: Lexicon):
-    """The terms that a document's words are taken for misspellings of."""
+    """The terms that documents' words are taken for misspellings of."""
 
     def run(batches):
         for batch in batches:
-            found = set()
-            for k in range(batch.num_rows):
-                for core in {EDGES.sub("", t.lower()) for t in TOKEN.findall(batch.column("text")[k].as_py() or "")}:
-                    if core and match(core, lexicon) == FUZZY:
-                        found.add(misspelt(core, lexicon))
+            found: set[str] = set()
+            for held in tokens_held(text.as_py() for text in batch.column("text")):
+                words = [w for w in set(map(core_of, set().union(*held))) if w]
+                exact = {w for w, kind in matches(words, lexicon).items() if kind == EXACT}
+                found.update(misspelt([w for w in words if w not in exact], lexicon).values())
             yield pa.RecordBatch.from_pydict({"term": pa.array(sorted(found), pa.string())})
 
     return run
@@ -358,7 +488,7 @@ def _hit_rows(lexicon: Lexicon):
     def run(batches):
         matcher = Matcher(lexicon)
         for batch in batches:
-            hits = [matcher.hits(batch.column("text")[k].as_py()) for k in range(batch.num_rows)]
+            hits = list(matcher.all_hits(text.as_py() for text in batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(hits, pa.list_(pa.float64()))], names=["toxic", "hits"]
             )
@@ -491,7 +621,7 @@ def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.lexicon)
         for batch in batches:
-            hits = [matcher.hits(batch.column("text")[k].as_py()) for k in range(batch.num_rows)]
+            hits = list(matcher.all_hits(text.as_py() for text in batch.column("text")))
             found = np.array(hits, dtype=float).reshape(batch.num_rows, 4)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(model.score(found)),

@@ -139,6 +139,41 @@ def test_automaton_finds_terms_with_swaps_and_two_edits():
     assert matcher.hits("wrothless idoit wortless scvm")[:3] == [0.0, 4.0, 0.0]
 
 
+def test_tokens_walk_the_trie_together_as_they_do_alone(monkeypatch):
+    """Many tokens in one walk: the first term of each as alone, and a walk of its own for long ones only."""
+    draw = np.random.default_rng(4)
+    syllables = ["an", "don", "re", "chl", "la", "ör", "ó", "th", "ing", "𝒳", "ß", "e"]
+    terms = sorted({"".join(draw.choice(syllables, draw.integers(2, 6))) for _ in range(80)} | {"longest" * 10, "scum", "scam"})
+    words = {"".join(draw.choice(syllables, draw.integers(1, 7))) for _ in range(20_000)}
+    words |= {"longset" + "longest" * 9, "longest" * 9, "scm", "sucm", "scümm", "x" * 200}
+    lexicon = toxicity.Lexicon.of(terms, terms, swaps=True)
+    alone = {w: toxicity.nearest_term(w, lexicon.trie) for w in words}
+    assert 100 < sum(t is not None for t in alone.values()) < len(words) / 2
+    walked, one = [], toxicity.nearest_term
+    monkeypatch.setattr(toxicity, "nearest_term", lambda token, trie: walked.append(token) or one(token, trie))
+    exact = sum(w in lexicon.words for w in words)
+    near = sum(t is not None and w not in lexicon.words for w, t in alone.items())
+    hits = toxicity.Matcher(lexicon).hits(" ".join(sorted(words)) + " (SCUM)")
+    assert hits == [float(exact + 1), float(near), 0.0, float(len(words) + 1)]
+    assert len(walked) <= 2 and all(len(w) > 60 for w in walked)
+    assert toxicity.misspelt(sorted(words), lexicon) == {w: t for w, t in alone.items() if t}
+    monkeypatch.setattr(toxicity, "SETS", 5_000)
+    assert toxicity.misspelt(sorted(words), lexicon) == {w: t for w, t in alone.items() if t}
+
+
+def test_texts_together_have_the_hits_that_each_has_alone(monkeypatch):
+    lexicon = toxicity.Lexicon.of(["idiot", "worthless", "scum"], ["idiot", "worthless"], swaps=True)
+    texts = [None, "", "You idiot, you wrothless", '"an idoit" said so', "plain words", "scum " * 50, None]
+    alone = [toxicity.Matcher(lexicon).hits(t) for t in texts]
+    assert alone[2][:3] == [1.0, 1.0, 0.0] and alone[3][:3] == [0.0, 0.0, 1.0] and alone[5][0] == 50.0
+    for held, remembered in ((1 << 22, 1 << 19), (1, 1), (20, 3)):
+        monkeypatch.setattr(toxicity, "HELD", held)
+        monkeypatch.setattr(toxicity, "REMEMBERED", remembered)
+        matcher = toxicity.Matcher(lexicon)
+        assert list(matcher.all_hits(texts)) == alone and list(matcher.all_hits(texts[::-1])) == alone[::-1]
+    assert list(toxicity.Matcher(lexicon).all_hits([])) == []
+
+
 def test_quotations_over_several_words():
     matcher = toxicity.Matcher(toxicity.Lexicon.of(["idiot", "worthless"], [], swaps=True))
     assert matcher.hits('"you are a worthless idiot" was on the wall')[:3] == [0.0, 0.0, 2.0]
